@@ -1,0 +1,20 @@
+"""Broadcast only what has been counted."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_BROADCAST_ROWS = 50_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Turn a side proven to be small into a broadcast table of literals.
+
+    At most `max_rows` + 1 rows are fetched to find out. A larger side comes
+    back untouched, so the join it enters is planned as a shuffle join whose
+    hot partitions adaptive execution splits.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
