@@ -22,8 +22,11 @@ def parse_date(raw: Column) -> Column:
 
     An ISO timestamp keeps the date it was written with; no zone shift.
     """
-    text = clean_text(raw)
-    return F.coalesce(parse_iso_date(text), *[F.try_to_date(text, fmt) for fmt in fv.DATE_FORMATS])
+
+    def read(text: Column) -> Column:
+        return F.coalesce(parse_iso_date(text), *[F.try_to_date(text, fmt) for fmt in fv.DATE_FORMATS])
+
+    return F.get(F.transform(F.array(clean_text(raw)), read), F.lit(0))
 
 
 def parse_iso_date(text: Column) -> Column:

@@ -23,12 +23,26 @@ from faremeld.functions.text import (
 )
 
 
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once and named only once.
+
+    Keeps plans small: a filter pushed below a projection copies the column it
+    tests into the condition, and a rule chain that names a long text formula
+    forty times would multiply with every such step.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def first_rule(text: Column, rules) -> Column:
     """Value of the first rule with a keyword inside the text, else null."""
-    chosen = F.lit(None).cast("string")
-    for value, keywords in reversed(list(rules)):
-        chosen = F.when(contains_any(text, keywords), value).otherwise(chosen)
-    return chosen
+
+    def chain(t: Column) -> Column:
+        chosen = F.lit(None).cast("string")
+        for value, keywords in reversed(list(rules)):
+            chosen = F.when(contains_any(t, keywords), value).otherwise(chosen)
+        return chosen
+
+    return let(text, chain)
 
 
 def match_port(raw: Column, rules=fv.PORT_RULES) -> Column:
@@ -57,17 +71,19 @@ def match_alias(text: Column, aliases: dict[str, str]) -> Column:
     return longest_alias(clean_text(text), aliases)
 
 
-def _ship_from_clean(text: Column) -> Column:
-    embedded = extract(text, fv.ASCII_NAME)
-    return F.coalesce(
-        longest_alias(text, fv.SHIP_ALIASES),
-        F.when(~has_cjk(text), text).when(embedded != "", clean_text(embedded)).otherwise(text),
-    )
+def canonical_ship(name: Column) -> Column:
+    """One spelling of a ship across languages; unknown names stay as they are.
 
+    Every alias holds a CJK character, so a name without one skips the table.
+    """
 
-def canonical_ship(name: Column) -> Column:
-    """One spelling of a ship across languages; unknown names stay as they are."""
-    return _ship_from_clean(clean_text(name))
+    def ship(text: Column) -> Column:
+        embedded = extract(text, fv.ASCII_NAME)
+        known = longest_alias(text, fv.SHIP_ALIASES)
+        foreign = F.coalesce(known, F.when(embedded != "", clean_text(embedded)), text)
+        return F.when(has_cjk(text), foreign).otherwise(text)
+
+    return let(clean_text(name), ship)
 
 
 def is_unmapped_ship(name: Column) -> Column:
@@ -75,17 +91,14 @@ def is_unmapped_ship(name: Column) -> Column:
 
 
 def canonical_line(name: Column) -> Column:
-    text = clean_text(name)
-    return F.coalesce(longest_alias(text, fv.LINE_ALIASES), text)
+    return let(clean_text(name), lambda t: F.coalesce(longest_alias(t, fv.LINE_ALIASES), t))
 
 
 def line_from_slug(slug: Column) -> Column:
     """Cruise line from a logo text; an unknown one is put in title case."""
     text = F.lower(F.regexp_replace(F.coalesce(slug, F.lit("")), r"(?U)^\s+|\s+$", ""))
-    compact = F.replace(text, F.lit(" "), F.lit(""))
-    known = F.lit(None).cast("string")
-    for code, line in fv.LINE_BY_SLUG.items():
-        known = F.when(compact == code, line).otherwise(known)
+    table = F.create_map(*[F.lit(v) for pair in fv.LINE_BY_SLUG.items() for v in pair])
+    known = F.try_element_at(table, F.replace(text, F.lit(" "), F.lit("")))
     words = F.split(text, r"(?<=\P{L})(?=\p{L})")
     return F.coalesce(known, F.array_join(F.transform(words, F.initcap), ""))
 
