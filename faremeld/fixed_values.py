@@ -144,15 +144,15 @@ BLOCKED_MARKERS = (
     "Performing security verification",
 )
 
-# --- Fixed values: date formats, tried in this order after ISO ---------------
+# --- Fixed values: (shape, format) of dates, tried in this order after ISO -----
 DATE_FORMATS = (
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "d-MMM-yyyy",
-    "d-MMMM-yyyy",
-    "M/d/yyyy",
-    "yyyy/M/d",
-    "d MMM yyyy",
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{4,}-\d{4}$", "d-MMMM-yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
 )
 
 # --- Fixed values: per-source constants --------------------------------------

@@ -18,21 +18,12 @@ from faremeld.functions.text import (
     extract,
     has_cjk,
     key_part,
+    let,
     split_list,
     strip_prefix_label,
 )
 
 
-def let(value: Column, body) -> Column:
-    """`body(value)` with the value computed once and named only once.
-
-    Keeps plans small: a filter pushed below a projection copies the column it
-    tests into the condition, and a rule chain that names a long text formula
-    forty times would multiply with every such step.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def first_rule(text: Column, rules) -> Column:
     """Value of the first rule with a keyword inside the text, else null."""
 
@@ -157,7 +148,7 @@ def day_place(description: Column) -> Column:
         return F.btrim(clean_text(bare), F.lit(fv.DAY_EDGE_CHARS))
 
     found = F.get(F.filter(F.transform(usable, place), lambda p: p != ""), F.lit(0))
-    return F.when(found.isNull() | found.rlike(fv.SEA_DAY), "").otherwise(found)
+    return let(found, lambda f: F.when(f.isNull() | f.rlike(fv.SEA_DAY), "").otherwise(f))
 
 
 def drop_repeats(values: str) -> Column:

@@ -18,3 +18,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread(raw: DataFrame) -> DataFrame:
+    """Give a scan of few files one partition per core before heavy parsing.
+
+    A scan with enough partitions, as any large table has, is left as it is.
+    Meant for tables as read, before any shuffle: asking a scan for its
+    partition count runs no job.
+    """
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    return raw if raw.rdd.getNumPartitions() >= cores else raw.repartition(cores)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from faremeld.operators.bounded import spread
 from faremeld.schemas import PRICE, as_quotes
 
 RATE = "31.966724"
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table about to be turned into raw text and parsed again."""
+    return spread(table(spark, sf_dir, name))
+
+
 def quote_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes with `src_ord`, `row_ord` and the line status they came with."""
     lineitem, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")

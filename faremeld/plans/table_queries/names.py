@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from faremeld.functions import names
 from faremeld.operators.bounded import broadcast_if_small
 from faremeld.operators.quality import unmapped_names, unmapped_warning
-from faremeld.plans.table_queries.feeds import table
+from faremeld.plans.table_queries.feeds import raw_table, table
 from faremeld.plans.table_queries.registry import query
 from faremeld.sources.itinerary_api import look_up
 from faremeld.sources.result_table import in_target_ports
@@ -185,7 +185,7 @@ def journey_ports(spark, sf_dir):
         F.lit("第六天：基隆港"),
     )
     daily = F.transform(days, lambda d: F.struct(d.alias("description")))
-    rows = table(spark, sf_dir, "lineitem").withColumn("daily", daily)
+    rows = raw_table(spark, sf_dir, "lineitem").withColumn("daily", daily)
     return names.with_journey_ports(rows, "daily", "ports").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.array_join("ports", "|").alias("ports")
     )

@@ -14,7 +14,7 @@ from faremeld.operators.quality import (
     stream_health,
     truncated_pages,
 )
-from faremeld.plans.table_queries.feeds import table
+from faremeld.plans.table_queries.feeds import raw_table, table
 from faremeld.plans.table_queries.registry import query
 from faremeld.sources.html_rows import explode_pages
 from faremeld.sources.html_tree import text_at
@@ -27,7 +27,7 @@ def _read_links(page):
 
 def page_links(spark, sf_dir) -> DataFrame:
     fields = [("href", T.StringType()), ("label", T.StringType())]
-    return explode_pages(table(spark, sf_dir, "pages"), "html", ["page_id"], fields, _read_links)
+    return explode_pages(raw_table(spark, sf_dir, "pages"), "html", ["page_id"], fields, _read_links)
 
 
 _LINKS_SQL = """
@@ -57,14 +57,14 @@ def _read_headings(page):
 @query(
     "html_headings",
     r"""
-SELECT page_id, replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&') AS title,
-       replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&amp;', '&') AS heading,
-       replace(replace(replace(regexp_extract(html, '<footer>(.*?)</footer>', 1), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS footer
+SELECT page_id, trim(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&')) AS title,
+       trim(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&amp;', '&')) AS heading,
+       trim(regexp_replace(replace(replace(replace(regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) AS footer
 FROM pages""",
 )
 def html_headings(spark, sf_dir):
     fields = [(n, T.StringType()) for n in ("title", "heading", "footer")]
-    rows = explode_pages(table(spark, sf_dir, "pages"), "html", ["page_id"], fields, _read_headings)
+    rows = explode_pages(raw_table(spark, sf_dir, "pages"), "html", ["page_id"], fields, _read_headings)
     return rows.select("page_id", *[clean_text(F.col(n)).alias(n) for n, _ in fields])
 
 

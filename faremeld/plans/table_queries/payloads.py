@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from faremeld.functions.money import plain_number
-from faremeld.plans.table_queries.feeds import table
+from faremeld.plans.table_queries.feeds import raw_table, table
 from faremeld.plans.table_queries.registry import query
 from faremeld.sources import embedded_items, event_stream, itinerary_api, published, result_table, sailing_cards
 
@@ -35,7 +35,7 @@ def _day(name: str = "sail_date"):
 
 
 def _items(spark, sf_dir) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = raw_table(spark, sf_dir, "orders")
     price = F.col("o_totalprice").cast("decimal(18,2)")
     none = F.lit(None).cast("string")
     inside = F.when(F.col("o_orderkey") % 3 == 0, price - 500).otherwise(0).cast("decimal(18,2)")
@@ -138,7 +138,7 @@ def lowest_component(spark, sf_dir):
 
 def _item_pages(spark, sf_dir) -> DataFrame:
     """A page per order: two items in script fragments cut mid-text."""
-    orders = table(spark, sf_dir, "orders")
+    orders = raw_table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
     first_day = F.when(F.col("o_orderkey") % 2 == 0, "第1天\n日本 東京 (橫濱) 登船\n15:00 啟航").otherwise("第一天：基隆港【郵輪20:00啟航】")
 
@@ -262,7 +262,7 @@ def _stream_lines(spark, sf_dir) -> DataFrame:
 
     Every fifth stream breaks off before its last step.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = raw_table(spark, sf_dir, "orders")
     day = F.date_format("o_orderdate", "yyyy/MM/dd")
     code = F.col("o_orderkey").cast("string")
     price = F.floor("o_totalprice").cast("bigint")
@@ -373,7 +373,7 @@ def step_join(spark, sf_dir):
 
 def _result_pages(spark, sf_dir) -> DataFrame:
     """A result page per order: a header row, a priced and an unpriced row."""
-    orders = table(spark, sf_dir, "orders")
+    orders = raw_table(spark, sf_dir, "orders")
     start = F.when(F.col("o_orderkey") % 4 == 3, "Busan (Pusan), South Korea").when(F.col("o_orderkey") % 4 == 2, "Tokyo, Japan").otherwise("Keelung (Taipei), Taiwan")
     price = F.floor("o_totalprice").cast("decimal(18,0)")
     ship = F.concat(F.lit("Ship "), (F.col("o_custkey") % 40).cast("string"))
@@ -456,7 +456,7 @@ def result_last_wins(spark, sf_dir):
 
 def _card_pages(spark, sf_dir) -> DataFrame:
     """A page per order with one card of three price tables, one undated."""
-    orders = table(spark, sf_dir, "orders")
+    orders = raw_table(spark, sf_dir, "orders")
     price = F.floor("o_totalprice").cast("decimal(18,0)")
     city = F.when(F.col("o_orderkey") % 3 == 0, "").when(F.col("o_orderkey") % 3 == 1, "Departing From Yokohama, Japan").otherwise("Singapore")
     stop = F.when(F.col("o_orderkey") % 3 == 2, "Singapore").otherwise("Keelung (taipei)")

@@ -18,7 +18,7 @@ from faremeld.functions.names import (
     with_match_key,
     with_ship_and_line,
 )
-from faremeld.functions.text import clean_text
+from faremeld.functions.text import clean_text, let
 from faremeld.operators.dedupe import keep_cheapest
 from faremeld.operators.quality import parse_health
 from faremeld.schemas import as_quotes
@@ -57,18 +57,22 @@ def with_items(pages: DataFrame, flight: str, out: str = "item") -> DataFrame:
     first value, so what follows an item does no harm. Should an item hold a
     nested start mark, its cut is too short to read, and the whole rest of
     the text is read instead.
+
+    Items are read while they are exploded, so that filters above do not
+    repeat the JSON work.
     """
     cut = pages.withColumn("_parts", F.split(F.col(flight), fv.ITEM_START))
-    rows = cut.select("*", F.posexplode(F.slice("_parts", F.lit(2), F.size("_parts"))).alias("item_no", "_text"))
-    rest = F.array_join(F.slice("_parts", F.col("item_no") + 2, F.size("_parts")), '"item":')
-    short = F.from_json("_text", ITEM)
-    rows = rows.withColumn("_short", short)
-    item = F.when(F.col("_short.id").isNotNull(), F.col("_short")).otherwise(F.from_json(rest, ITEM))
-    return (
-        rows.withColumn(out, item)
-        .where(F.col(f"{out}.id").isNotNull())
-        .drop("_parts", "_text", "_short")
-    )
+
+    def read(part: Column, i: Column) -> Column:
+        rest = F.array_join(F.slice("_parts", i + 2, F.size("_parts")), '"item":')
+        return let(
+            F.from_json(part, ITEM),
+            lambda short: F.when(short["id"].isNotNull(), short).otherwise(F.from_json(rest, ITEM)),
+        )
+
+    items = F.transform(F.slice("_parts", F.lit(2), F.size("_parts")), read)
+    rows = cut.select(*pages.columns, F.posexplode(items).alias("item_no", out))
+    return rows.where(F.col(f"{out}.id").isNotNull())
 
 
 def read_items(pages: DataFrame) -> DataFrame:

@@ -7,36 +7,67 @@ along a descendant path, and read their text.
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from bisect import bisect_left
+from functools import lru_cache
+from html import unescape
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 # A new one of these ends an open one of the same kind inside the same parent.
 _CLOSES = {"tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "li": ("li",), "p": ("p",), "option": ("option",)}
 _SCOPE = {"table", "ul", "ol", "div", "article", "section", "select", "body", "nav"}
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|"
+    r"<(/?)([A-Za-z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_RAW = {tag: re.compile(f"</{tag}\\b[^>]*>", re.I) for tag in ("script", "style")}
 _PART = re.compile(r"([.#]?)([\w-]+)|\[([\w-]+)(\*=([\w-]+))?\]")
 
 
+class Page:
+    """Elements in page order, and where each tag, id and class occurs."""
+
+    __slots__ = ("nodes", "places")
+
+    def __init__(self):
+        self.nodes, self.places = [], {}
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "classes", "parent", "children")
+    """An element. `page.nodes[at + 1 : end]` are its descendants."""
 
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.classes = (attrs.get("class") or "").split()
-        self.children = []
+    __slots__ = ("tag", "attrs", "classes", "parent", "children", "page", "at", "end")
 
-    def descendants(self):
-        stack = list(reversed(self.children))
-        while stack:
-            node = stack.pop()
-            if isinstance(node, Node):
-                yield node
-                stack.extend(reversed(node.children))
+    def __init__(self, tag, attrs, parent, page):
+        self.tag, self.attrs, self.parent, self.page = tag, attrs, parent, page
+        self.classes = attrs["class"].split() if attrs.get("class") else ()
+        self.children = []
+        self.at = len(page.nodes)
+        self.end = self.at + 1
+        page.nodes.append(self)
+        places = page.places
+        places.setdefault(("", tag), []).append(self.at)
+        for name in self.classes:
+            places.setdefault((".", name), []).append(self.at)
+        if "id" in attrs:
+            places.setdefault(("#", attrs["id"]), []).append(self.at)
 
     def find_all(self, path):
-        steps = [_compile(step) for step in path.split()]
-        for node in self.descendants():
-            if _matches(node, steps[-1]) and _under(node.parent, steps[:-1]):
-                yield node
+        steps = _compile(path)
+        last, above = steps[-1], steps[:-1]
+        nodes = self.page.nodes
+        for i in self._candidates(last):
+            if _matches(nodes[i], last) and _under(nodes[i].parent, above):
+                yield nodes[i]
+
+    def _candidates(self, tests):
+        """Places below this element that one of the tests allows."""
+        named = [self.page.places.get((kind, word), ()) for kind, word, attr, _ in tests if not attr]
+        if not named:
+            return range(self.at + 1, self.end)
+        places = min(named, key=len)
+        return places[bisect_left(places, self.at + 1) : bisect_left(places, self.end)]
 
     def find(self, path):
         return next(self.find_all(path), None)
@@ -53,45 +84,66 @@ class Node:
         return " ".join(out)
 
 
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("", {}, None)
-
-    def handle_starttag(self, tag, attrs):
+def parse(html: str) -> Node:
+    """Tree of a page. Comments and declarations are left out."""
+    html = html or ""
+    page = Page()
+    here = root = Node("", {}, None, page)
+    at, size = 0, len(html)
+    while at < size:
+        token = _TOKEN.search(html, at)
+        text = html[at : token.start() if token else size]
+        if text:
+            here.children.append(unescape(text) if "&" in text else text)
+        if token is None:
+            break
+        at = token.end()
+        closing, name, rest = token.groups()
+        if name is None:
+            continue
+        tag = name.lower()
+        if closing:
+            here = _close(here, tag)
+            continue
         if tag in _CLOSES:
-            self._close_open(tag)
-        node = Node(tag, dict(attrs), self.at)
-        self.at.children.append(node)
-        if tag not in _VOID:
-            self.at = node
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        node = self.at
-        while node.parent is not None and node.tag != tag:
-            node = node.parent
-        if node.parent is not None:
-            self.at = node.parent
-
-    def handle_data(self, data):
-        self.at.children.append(data)
-
-    def _close_open(self, tag):
-        node = self.at
-        while node.parent is not None and node.tag not in _SCOPE:
-            if node.tag in _CLOSES[tag]:
-                self.at = node.parent
-            node = node.parent
+            here = _end_siblings(here, tag)
+        node = Node(tag, _attributes(rest) if rest else {}, here, page)
+        here.children.append(node)
+        if tag in _RAW:
+            stop = _RAW[tag].search(html, at)
+            end = stop.start() if stop else size
+            node.children.append(html[at:end])
+            at = stop.end() if stop else size
+        elif tag not in _VOID:
+            here = node
+    for node in reversed(page.nodes):
+        if node.parent is not None and node.parent.end < node.end:
+            node.parent.end = node.end
+    return root
+
+
+def _attributes(rest):
+    found = {}
+    for name, quoted, single, bare in _ATTRIBUTE.findall(rest):
+        value = quoted or single or bare
+        found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+def _close(here, tag):
+    node = here
+    while node.parent is not None and node.tag != tag:
+        node = node.parent
+    return here if node.parent is None else node.parent
 
 
-def parse(html: str) -> Node:
-    builder = _Builder()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root
+def _end_siblings(here, tag):
+    node = here
+    while node.parent is not None and node.tag not in _SCOPE:
+        if node.tag in _CLOSES[tag]:
+            here = node.parent
+        node = node.parent
+    return here
 
 
 def text_at(node: Node, path: str) -> str | None:
@@ -104,8 +156,11 @@ def attr_at(node: Node, path: str, name: str) -> str | None:
     return found.attrs.get(name) if found is not None else None
 
 
-def _compile(step):
-    return [(kind, word, attr, part) for kind, word, attr, _, part in _PART.findall(step)]
+@lru_cache(maxsize=None)
+def _compile(path):
+    return tuple(
+        tuple((kind, word, attr, part) for kind, word, attr, _, part in _PART.findall(step)) for step in path.split()
+    )
 
 
 def _matches(node, tests):
