@@ -37,22 +37,16 @@ def read_events(lines: DataFrame) -> DataFrame:
     Lines that are no data, the end mark and unreadable JSON are skipped.
     """
     payload = F.trim(F.substring(F.col("value"), len(fv.STREAM_PREFIX) + 1, 2**31 - 1))
-    data_lines = (
-        lines.where(F.col("value").startswith(fv.STREAM_PREFIX))
-        .withColumn("_payload", payload)
-        .where((F.col("_payload") != "") & (F.col("_payload") != fv.STREAM_END))
-        .withColumn("_json", F.try_parse_json("_payload"))
-        .where("_json IS NOT NULL")
-    )
-    event = F.from_json("_payload", "step string, data string")
+    payloads = lines.where(F.col("value").startswith(fv.STREAM_PREFIX)).withColumn("_payload", payload)
+    payloads = payloads.where((F.col("_payload") != "") & (F.col("_payload") != fv.STREAM_END))
+    # Read as the only element of an array: text behind the object then makes
+    # the whole line unreadable instead of being overlooked.
+    events = F.from_json(F.concat(F.lit("["), "_payload", F.lit("]")), "array<struct<step:string,data:string>>")
     return (
-        data_lines.withColumn("_event", event)
-        .where(F.coalesce(F.col("_event.step"), F.lit("")) != "")
-        .groupBy("stream_id", F.col("_event.step").alias("step"))
-        .agg(
-            F.max_by("_event.data", "line_no").alias("data"),
-            F.max_by("scraped_at", "line_no").alias("scraped_at"),
-        )
+        payloads.select("stream_id", "line_no", "scraped_at", F.inline(F.when(F.size(events) == 1, events)))
+        .where("step <> ''")
+        .groupBy("stream_id", "step")
+        .agg(F.max_by("data", "line_no").alias("data"), F.max_by("scraped_at", "line_no").alias("scraped_at"))
     )
 
 
