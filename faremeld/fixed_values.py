@@ -108,7 +108,8 @@ LINE_BY_SLUG = {
 }
 
 # --- Fixed values: text patterns (Java syntax; U = Unicode classes) ----------
-WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+# A run of white space, or one that is no plain space; a plain one stays as it is.
+WHITESPACE = r"(?U)[\s\x1c-\x1f]{2,}|[\s\x1c-\x1f&&[^ ]]"
 FIELD_LABEL = (
     r"(?iU)^\s*(?:Starts|Ends|Ports? of Call|Departs|Departing From|Returns|Duration|Ship)\s*:?\s+"
 )

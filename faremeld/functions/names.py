@@ -17,7 +17,6 @@ from faremeld.functions.text import (
     contains_any,
     extract,
     has_cjk,
-    key_part,
     let,
     split_list,
     strip_prefix_label,
@@ -65,8 +64,10 @@ def match_alias(text: Column, aliases: dict[str, str]) -> Column:
 def canonical_ship(name: Column) -> Column:
     """One spelling of a ship across languages; unknown names stay as they are.
 
-    Every alias holds a CJK character, so a name without one skips the table.
+    Every alias holds a CJK character, so a name without one skips the table;
+    that an ASCII name has none is told by its length in bytes.
     """
+    is_ascii = F.octet_length(name) == F.char_length(name)
 
     def ship(text: Column) -> Column:
         embedded = extract(text, fv.ASCII_NAME)
@@ -74,7 +75,7 @@ def canonical_ship(name: Column) -> Column:
         foreign = F.coalesce(known, F.when(embedded != "", clean_text(embedded)), text)
         return F.when(has_cjk(text), foreign).otherwise(text)
 
-    return let(clean_text(name), ship)
+    return F.when(is_ascii, clean_text(name)).otherwise(let(clean_text(name), ship))
 
 
 def is_unmapped_ship(name: Column) -> Column:
@@ -179,7 +180,7 @@ def with_match_key(df: DataFrame) -> DataFrame:
     """
     return df.withColumns(
         {
-            "k_ship": key_part(canonical_ship(F.col("ship_name"))),
+            "k_ship": F.lower(canonical_ship(F.col("ship_name"))),
             "k_port": port_group(F.col("depart_port")),
         }
     )

@@ -20,13 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table about to be turned into raw text and parsed again."""
+    """A table ahead of much work per row, read by every core."""
     return spread(table(spark, sf_dir, name))
 
 
 def quote_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes with `src_ord`, `row_ord` and the line status they came with."""
-    lineitem, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    lineitem, part = raw_table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     group = F.col("l_suppkey") % 5
     port = F.when(F.col("l_returnflag") == "R", "Keelung").when(F.col("l_returnflag") == "A", "Tokyo").otherwise("Yokohama")
     ship = F.when(F.col("l_linenumber") % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
@@ -38,7 +38,7 @@ def quote_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         port.alias("depart_port"),
         ship.alias("ship_name"),
         F.col("p_brand").alias("cruise_line"),
-        F.lit(1).alias("nights"),
+        (F.col("p_size") % 2 + 3).alias("nights"),
         price.alias("price"),
         currency.alias("currency"),
         F.col("p_type").alias("arrive_port"),
@@ -59,7 +59,7 @@ feed AS (
          CASE l_returnflag WHEN 'R' THEN 'Keelung' WHEN 'A' THEN 'Tokyo' ELSE 'Yokohama' END AS depart_port,
          CASE l_returnflag WHEN 'R' THEN 'keelung' ELSE 'tokyo/yokohama' END AS k_port,
          CASE WHEN l_linenumber % 2 = 0 THEN upper(p_name) ELSE p_name END AS ship_name,
-         p_name AS k_ship, p_brand AS cruise_line, p_type AS arrive_port, 1 AS nights,
+         p_name AS k_ship, p_brand AS cruise_line, p_type AS arrive_port, 3 + p_size % 2 AS nights,
          CASE WHEN l_discount <> 0 THEN CAST(l_extendedprice AS DECIMAL(38,4)) END AS price,
          CASE WHEN l_suppkey % 5 IN (3, 4) THEN 'TWD' WHEN l_suppkey % 5 = 2 THEN 'JPY' ELSE 'USD' END AS currency,
          CAST(l_shipdate AS DATE) AS scraped_day, l_linestatus AS line_status

@@ -33,7 +33,7 @@ MERGED_FEED_SQL = f"WITH {FEED_SQL}, {ALL_AS_ONE_RUN}, {merged_sql('placed')}"
     "cross_source_merge",
     MERGED_FEED_SQL
     + """
-SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, k_port, source, ship_name, depart_port, currency,
+SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, CAST(nights AS BIGINT) AS nights, k_port, source, ship_name, depart_port, currency,
        rtrim(rtrim(CAST(price AS VARCHAR), '0'), '.') AS price, CAST(price_twd AS VARCHAR) AS price_twd,
        CASE WHEN currency = 'USD' THEN '31.966724' END AS fx_rate, others
 FROM best""",
@@ -42,6 +42,7 @@ def cross_source_merge(spark, sf_dir):
     return merged_feed(spark, sf_dir).select(
         "k_ship",
         F.col("sail_date").cast("string").alias("sail_date"),
+        F.col("nights").cast("bigint").alias("nights"),
         "k_port",
         "source",
         "ship_name",
@@ -58,16 +59,22 @@ def cross_source_merge(spark, sf_dir):
     "output_order",
     MERGED_FEED_SQL
     + """
-SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, k_port,
+SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, CAST(nights AS BIGINT) AS nights, k_port,
        row_number() OVER (ORDER BY sail_date, amount IS NULL, amount, first_seen) AS position
 FROM best""",
 )
 def output_order(spark, sf_dir):
     placed = with_position(
-        merged_feed(spark, sf_dir).select("k_ship", "sail_date", "k_port", "price", "price_twd", "first_seen"),
+        merged_feed(spark, sf_dir).select("k_ship", "sail_date", "nights", "k_port", "price", "price_twd", "first_seen"),
         output_keys(),
     )
-    return placed.select("k_ship", F.col("sail_date").cast("string").alias("sail_date"), "k_port", "position")
+    return placed.select(
+        "k_ship",
+        F.col("sail_date").cast("string").alias("sail_date"),
+        F.col("nights").cast("bigint").alias("nights"),
+        "k_port",
+        "position",
+    )
 
 
 def _numeric_sort_sql(direction: str) -> str:
@@ -169,7 +176,7 @@ after_run AS (
     "incremental_merge",
     f"WITH {FEED_SQL}, {_RUN_SQL}, {merged_sql('after_run')}"
     + """
-SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, k_port, source, CAST(stale_since AS VARCHAR) AS stale_since,
+SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, CAST(nights AS BIGINT) AS nights, k_port, source, CAST(stale_since AS VARCHAR) AS stale_since,
        CAST(price_twd AS VARCHAR) AS price_twd, others FROM best""",
 )
 def incremental_merge(spark, sf_dir):
@@ -177,6 +184,7 @@ def incremental_merge(spark, sf_dir):
     return merge_run(current, previous, status, F.lit(RATE)).select(
         "k_ship",
         F.col("sail_date").cast("string").alias("sail_date"),
+        F.col("nights").cast("bigint").alias("nights"),
         "k_port",
         "source",
         F.col("stale_since").cast("string").alias("stale_since"),

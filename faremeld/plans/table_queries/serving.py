@@ -23,7 +23,7 @@ def thousands(expr: str) -> str:
     MERGED_FEED_SQL
     + """
 SELECT CAST(sail_date AS VARCHAR) AS "出發日期", depart_port AS "出發港口", arrive_port AS "目的港口", ship_name AS "郵輪名",
-  cruise_line AS "船公司", '1' AS "航行天數", coalesce(rtrim(rtrim(CAST(price AS VARCHAR), '0'), '.'), '') AS "最低價格",
+  cruise_line AS "船公司", CAST(nights AS VARCHAR) AS "航行天數", coalesce(rtrim(rtrim(CAST(price AS VARCHAR), '0'), '.'), '') AS "最低價格",
   currency AS "幣別", coalesce(CAST(price_twd AS VARCHAR), '') AS "台幣價格",
   CASE WHEN currency = 'USD' THEN '31.966724' ELSE '' END AS "匯率", '' AS "價格說明",
   lower(arrive_port) || ' → ' || lower(cruise_line) AS "停靠港", source AS "來源",
@@ -125,7 +125,7 @@ def display_columns(spark, sf_dir):
     MERGED_FEED_SQL
     + f"""
 , rival_words AS (
-  SELECT k_ship, sail_date, k_port,
+  SELECT k_ship, sail_date, nights, k_port,
     string_agg(source || ' ' || CASE WHEN price_text = '-' THEN '洽詢報價' WHEN twd_text <> '-' THEN 'NT$' || {thousands('twd_text')}
       ELSE currency || ' ' || {thousands("split_part(price_text, '.', 1)")} ||
         CASE WHEN contains(price_text, '.') THEN '.' || rpad(split_part(price_text, '.', 2), 2, '0') ELSE '' END END, '、' ORDER BY source) AS badge,
@@ -133,12 +133,19 @@ def display_columns(spark, sf_dir):
       CASE currency WHEN 'USD' THEN 'US$' WHEN 'TWD' THEN 'NT$' ELSE currency || ' ' END || {thousands("split_part(price_text, '.', 1)")} ||
         CASE WHEN contains(price_text, '.') THEN '.' || rpad(split_part(price_text, '.', 2), 2, '0') ELSE '' END END, '；' ORDER BY source) AS tooltip
   FROM rival GROUP BY ALL)
-SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, k_port, coalesce(badge, '') AS badge, coalesce(tooltip, '') AS tooltip
-FROM best LEFT JOIN rival_words USING (k_ship, sail_date, k_port)""",
+SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, CAST(nights AS BIGINT) AS nights, k_port, coalesce(badge, '') AS badge, coalesce(tooltip, '') AS tooltip
+FROM best LEFT JOIN rival_words USING (k_ship, sail_date, nights, k_port)""",
 )
 def display_rivals(spark, sf_dir):
     rows = serving.display_columns(merged_feed(spark, sf_dir))
-    return rows.select("k_ship", F.col("sail_date").cast("string").alias("sail_date"), "k_port", "badge", "tooltip")
+    return rows.select(
+        "k_ship",
+        F.col("sail_date").cast("string").alias("sail_date"),
+        F.col("nights").cast("bigint").alias("nights"),
+        "k_port",
+        "badge",
+        "tooltip",
+    )
 
 
 @query(
@@ -147,7 +154,7 @@ def display_rivals(spark, sf_dir):
 SELECT row_ord[1] AS order_no, row_ord[2] AS line_no, row_ord[3] AS part_no, row_ord[4] AS supplier_no, md5(
   '{{"source":"' || source || '","sail_date":"' || CAST(sail_date AS VARCHAR) || '","depart_port":"' || depart_port ||
   '","depart_port_raw":"","arrive_port":"' || arrive_port || '","ports_of_call":["' || lower(arrive_port) || '","' || lower(cruise_line) ||
-  '"],"ship_name":"' || ship_name || '","cruise_line":"' || cruise_line || '","nights":1,"price":' ||
+  '"],"ship_name":"' || ship_name || '","cruise_line":"' || cruise_line || '","nights":' || nights || ',"price":' ||
   coalesce('"' || rtrim(rtrim(CAST(price AS VARCHAR), '0'), '.') || '"', 'null') || ',"currency":"' || currency ||
   '","price_note":"","detail_url":"","scraped_at":"' || CAST(scraped_day AS VARCHAR) || 'T00:00:00+00:00","stale_since":null,"other_sources":{{}},"price_twd":' ||
   coalesce('"' || CAST(price_twd AS VARCHAR) || '"', 'null') || ',"fx_rate":' || CASE WHEN currency = 'USD' THEN '"31.966724"' ELSE 'null' END ||
