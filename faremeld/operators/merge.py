@@ -36,21 +36,16 @@ def rows_after_run(current: DataFrame, previous: DataFrame, status: DataFrame) -
     first_rows = broadcast_if_small(previous.groupBy("source").agg(F.min("row_ord").alias("first_row")))
 
     fresh = mark_fresh(current.join(status.where("ok"), "source"))
-    fresh = fresh.withColumn("ord", _place(F.array("src_ord")))
+    fresh = fresh.withColumn("ord", F.concat(F.array("src_ord"), "row_ord"))
 
-    failed = mark_stale(previous.join(status.where("NOT ok"), "source"))
-    failed = failed.withColumn("ord", _place(F.array("src_ord")))
-
-    not_run = mark_stale(previous.join(status, "source", "left_anti").join(first_rows, "source"))
-    last = F.array(F.lit(2**31).cast("bigint"))
-    not_run = not_run.withColumn("ord", _place(F.concat(last, "first_row")))
+    # One pass over the old rows: of failed sources, and of sources not run.
+    kept = previous.join(status, "source", "left").where("NOT coalesce(ok, false)").join(first_rows, "source")
+    after_all = F.concat(F.array(F.lit(2**31).cast("bigint")), "first_row", "row_ord")
+    in_turn = F.concat(F.array("src_ord"), "row_ord")
+    kept = mark_stale(kept).withColumn("ord", F.when(F.col("ok").isNull(), after_all).otherwise(in_turn))
 
     drop = ["ok", "src_ord", "first_row", "row_ord"]
-    return fresh.drop(*drop).unionByName(failed.drop(*drop)).unionByName(not_run.drop(*drop))
-
-
-def _place(head: Column) -> Column:
-    return F.concat(head, F.col("row_ord"))
+    return fresh.drop(*drop).unionByName(kept.drop(*drop))
 
 
 def merge_run(current: DataFrame, previous: DataFrame, status: DataFrame, rate: Column) -> DataFrame:

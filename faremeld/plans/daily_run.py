@@ -90,13 +90,15 @@ def run(
             current = current.unionByName(spark.read.parquet(stage).select(*with_ord))
     if previous is None:
         previous = latest_published(spark, out)
+    if previous is None:
+        previous = empty
     if previous_rate is None:
         previous_rate = latest_rate(spark, out)
 
     rate_rows = resolve_rate(spark, manual_rate, fx_payloads, previous_rate).take(1)
     rate = spark.createDataFrame(rate_rows, FX)
     usd_twd = F.lit(rate_rows[0]["usd_twd"] if rate_rows else None)
-    merged = merge_run(current, previous or empty, status, usd_twd)
+    merged = merge_run(current, previous, status, usd_twd)
     if not dry_run:
         # Written once; the document, the table view and the snapshot read it.
         table = f"{out}/merged/run={start.isoformat()}"

@@ -8,7 +8,7 @@ from faremeld import fixed_values as fv
 from faremeld.functions.money import plain_number
 from faremeld.operators.fx import apply_rate, carry_rate_forward, convert, first_valid_rate, provider_rates, requote
 from faremeld.plans.publish import rate_columns
-from faremeld.plans.table_queries.feeds import FEED_SQL, RATE, quote_feed, table
+from faremeld.plans.table_queries.feeds import FEED_SQL, RATE, quote_feed, raw_table, table
 from faremeld.plans.table_queries.registry import query
 from faremeld.schemas import OTHER_SOURCES, RATE as RATE_TYPE
 
@@ -168,7 +168,7 @@ def requote_carried(spark, sf_dir):
         .otherwise(F.struct(F.lit(None).cast("string"), F.lit("USD"), F.lit("old")))
     )
     second = F.struct(F.col("l_quantity").cast("decimal(18,2)").cast("string"), F.lit("TWD"), F.lit(None).cast("string"))
-    rows = table(spark, sf_dir, "lineitem").withColumn(
+    rows = raw_table(spark, sf_dir, "lineitem").withColumn(
         "carried", F.create_map(F.lit("a"), first, F.lit("b"), second).cast(OTHER_SOURCES)
     )
     rows = rows.withColumn("carried", F.transform_values("carried", lambda _s, q: requote(q, F.lit(RATE).cast(RATE_TYPE))))

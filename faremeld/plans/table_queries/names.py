@@ -32,7 +32,7 @@ FROM (SELECT doc_id, lower(text) AS t FROM documents)""",
 )
 def first_match_rule(spark, sf_dir):
     """First rule, in order, with a keyword anywhere in the whole text."""
-    return table(spark, sf_dir, "documents").select(
+    return raw_table(spark, sf_dir, "documents").select(
         "doc_id", names.first_rule(F.lower("text"), LANGUAGE_RULES).alias("rule")
     )
 
@@ -50,7 +50,7 @@ SELECT doc_id, CASE WHEN contains(t, 'thanation') THEN 'whole' WHEN contains(t,
 FROM (SELECT doc_id, text AS t FROM documents)""",
 )
 def longest_alias(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return raw_table(spark, sf_dir, "documents").select(
         "doc_id", names.match_alias(F.col("text"), WORD_ALIASES).alias("alias")
     )
 

@@ -557,7 +557,7 @@ def upgrade_other_sources(spark, sf_dir):
     twd = F.floor("l_quantity").cast("string")
     new = F.concat(F.lit('{"a":{"price":"'), price, F.lit('","currency":"TWD","price_twd":"'), twd, F.lit('"},"b":{"price":null,"currency":""}}'))
     raw = F.when(F.col("l_suppkey") % 2 == 0, old).otherwise(new)
-    rows = table(spark, sf_dir, "lineitem").withColumn("other_sources", published.upgrade_other_sources(raw))
+    rows = raw_table(spark, sf_dir, "lineitem").withColumn("other_sources", published.upgrade_other_sources(raw))
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", others_text().alias("others"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faremeld.functions import dates, money, text
-from faremeld.plans.table_queries.feeds import table
+from faremeld.plans.table_queries.feeds import raw_table, table
 from faremeld.plans.table_queries.registry import query
 
 
@@ -20,7 +20,7 @@ SELECT doc_id, length(t) AS n, md5(t) AS digest, md5(lower(t)) AS key_digest FRO
 def clean_documents(spark, sf_dir):
     """Whole documents with wide and non-breaking spaces put in first."""
     odd = F.replace(F.coalesce("text", F.lit("")), F.lit(" the "), F.lit("　the \n"))
-    rows = table(spark, sf_dir, "documents").select("doc_id", odd.alias("raw"))
+    rows = raw_table(spark, sf_dir, "documents").select("doc_id", odd.alias("raw"))
     rows = rows.select("doc_id", text.clean_text(F.col("raw")).alias("t"), text.key_part(F.col("raw")).alias("k"))
     return rows.select("doc_id", F.length("t").cast("bigint").alias("n"), F.md5("t").alias("digest"), F.md5("k").alias("key_digest"))
 
@@ -51,7 +51,7 @@ SELECT doc_id, CAST(CASE WHEN v > 0 THEN v END AS VARCHAR) AS price FROM (
 )
 def price_in_documents(spark, sf_dir):
     """First number of each whole document."""
-    return table(spark, sf_dir, "documents").select(
+    return raw_table(spark, sf_dir, "documents").select(
         "doc_id", money.parse_price(F.col("text")).cast("string").alias("price")
     )
 
@@ -93,7 +93,7 @@ def lowest_cell(spark, sf_dir):
         F.concat(F.lit("$"), F.format_number((F.col("l_quantity") * 100).cast("decimal(18,2)"), 2))
     )
     cells = F.array(F.lit("Select"), price, F.lit("-"), cabin, F.lit("$0"))
-    return table(spark, sf_dir, "lineitem").select(
+    return raw_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", lowest_of_cabins(cells).cast("string").alias("price")
     )
 
@@ -114,7 +114,7 @@ def nights_wordings(spark, sf_dir):
         .when(F.col("l_linenumber") % 4 == 2, F.concat(F.lit("Length: "), n, F.lit(" days")))
         .otherwise(F.lit("on request"))
     )
-    rows = table(spark, sf_dir, "lineitem").withColumn("n", money.parse_nights(raw))
+    rows = raw_table(spark, sf_dir, "lineitem").withColumn("n", money.parse_nights(raw))
     return rows.select(
         "l_orderkey",
         "l_linenumber",
@@ -134,7 +134,7 @@ SELECT doc_id, len(parts) AS n, md5(array_to_string(parts, '|')) AS digest FROM
 )
 def split_documents(spark, sf_dir):
     """Whole documents split at commas, as port lists are."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", text.split_ports(F.col("text")).alias("parts"))
+    rows = raw_table(spark, sf_dir, "documents").select("doc_id", text.split_ports(F.col("text")).alias("parts"))
     return rows.select(
         "doc_id", F.size("parts").cast("bigint").alias("n"), F.md5(F.array_join("parts", "|")).alias("digest")
     )

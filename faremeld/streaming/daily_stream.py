@@ -17,11 +17,15 @@ def merge_stream(
 ) -> StreamingQuery:
     """Merge quote files landed in `landing` into run tables below `out`.
 
-    One micro-batch is one run. It writes partition `run_id` = its batch id
-    and reads the newest run before it, so a batch replayed after a failure
-    reads the same input and overwrites its own partition.
+    One micro-batch is one run and takes all files landed since the last one;
+    a limit on files would cut a run in two, and the second half would replace
+    the first. `status_path` holds the outcome per source and stays as it is
+    until the batch is done. A batch writes partition `run_id` = its batch id
+    and reads the newest run before it, so a batch
+    replayed after a failure reads the same input and overwrites its own
+    partition.
     """
-    stream = spark.readStream.schema(LANDED).option("maxFilesPerTrigger", 1000).parquet(landing)
+    stream = spark.readStream.schema(LANDED).parquet(landing)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession

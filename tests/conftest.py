@@ -17,9 +17,14 @@ from faremeld.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "faremeld-tests",
-        "local[4]",
+        "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            # Compiling plans takes longer than running them on a few rows;
+            # tests/oracle.py and bench.py run the compiled form.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+            "spark.ui.showConsoleProgress": "false",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.driver.bindAddress": "127.0.0.1",
