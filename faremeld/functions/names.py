@@ -61,21 +61,23 @@ def match_alias(text: Column, aliases: dict[str, str]) -> Column:
     return longest_alias(clean_text(text), aliases)
 
 
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
+
+
 def canonical_ship(name: Column) -> Column:
     """One spelling of a ship across languages; unknown names stay as they are.
 
-    Every alias holds a CJK character, so a name without one skips the table;
-    that an ASCII name has none is told by its length in bytes.
+    Every alias holds a CJK character, so a name without one skips the table.
     """
-    is_ascii = F.octet_length(name) == F.char_length(name)
 
     def ship(text: Column) -> Column:
         embedded = extract(text, fv.ASCII_NAME)
         known = longest_alias(text, fv.SHIP_ALIASES)
         foreign = F.coalesce(known, F.when(embedded != "", clean_text(embedded)), text)
-        return F.when(has_cjk(text), foreign).otherwise(text)
+        return F.when(is_ascii(text) | ~has_cjk(text), text).otherwise(foreign)
 
-    return F.when(is_ascii, clean_text(name)).otherwise(let(clean_text(name), ship))
+    return let(clean_text(name), ship)
 
 
 def is_unmapped_ship(name: Column) -> Column:
@@ -178,9 +180,12 @@ def with_match_key(df: DataFrame) -> DataFrame:
     Together with sail_date and nights. The cruise line is left out on
     purpose: sources spell it too differently.
     """
+    name = F.col("ship_name")
+    # Most names are ASCII and take the compiled branch.
+    ship = F.when(is_ascii(name), clean_text(name)).otherwise(canonical_ship(name))
     return df.withColumns(
         {
-            "k_ship": F.lower(canonical_ship(F.col("ship_name"))),
+            "k_ship": F.lower(ship),
             "k_port": port_group(F.col("depart_port")),
         }
     )
