@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremeld.llm.common import chunks, components, discard, settle, table
@@ -15,8 +15,9 @@ from faremeld.llm.common import chunks, components, discard, settle, table
 #: Words of a shingle, least similarity, registers of a signature and registers of a band.
 #: A pair at the least similarity shares one of the 24 bands with probability 0.9993.
 SHINGLE, SIMILARITY, REGISTERS, BAND = 5, 0.8, 144, 6
-#: A bucket of no more members is compared pair by pair; a larger one against this many leaders a round.
-SMALL_BUCKET, LEADERS = 24, 8
+#: Documents of a block, where a group is compared block by block, and how far an estimate
+#: may be below the similarity for a pair to be verified there (three standard deviations).
+BLOCK, SLACK = 256, 0.1
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -146,7 +147,7 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def weighted_sets(docs: DataFrame) -> DataFrame:
-    """(node, weighted): sorted shingle hashes and counts of each document, 16 bytes for a shingle."""
+    """(node, weighted, sketch): sorted shingle hashes and counts of each document, and 32 bits of each register."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
@@ -156,9 +157,10 @@ def weighted_sets(docs: DataFrame) -> DataFrame:
                 owner, key, count = shingles(texts[part], words)
                 edge = np.searchsorted(owner, np.arange(len(texts[part]) + 1))
                 made = [key[a:b].tobytes() + count[a:b].astype(np.int32).tobytes() for a, b in zip(edge[:-1], edge[1:])]
-                yield pd.DataFrame({"node": ids[part], "weighted": made})
+                sketch = signatures(owner, key, damped(count), len(made)).astype(np.uint32)
+                yield pd.DataFrame({"node": ids[part], "weighted": made, "sketch": [x.tobytes() for x in sketch]})
 
-    return docs.mapInPandas(run, "node long, weighted binary")
+    return docs.mapInPandas(run, "node long, weighted binary, sketch binary")
 
 
 def _opened(weighted: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -182,6 +184,52 @@ def _ordered(left: Column, right: Column) -> list[Column]:
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
 
+def cross_links(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between the components of each group, of (group, node, component).
+
+    Documents are dealt to blocks: a large component has blocks of its own,
+    small ones share blocks. Blocks meet in pairs, but never two of one
+    component, since what is joined needs no comparison. Of two components, a
+    task reports one link. Pairs whose registers agree too rarely are passed over.
+    """
+    sizes = nodes.groupBy("group", "component").agg(F.count("*").alias("n")).withColumn("large", F.col("n") > BLOCK // 2)
+    small = sizes.where("NOT large").groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("long").alias("parts"))
+    own = F.when(F.col("large"), F.xxhash64("component", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK).cast("long"))))
+    own = own.otherwise(F.xxhash64("group", F.lit("small"), F.pmod(F.xxhash64("component"), F.coalesce("parts", F.lit(1)))))
+    dealt = settle(nodes.join(sizes, ["group", "component"]).join(small, "group", "left").select("group", "node", "component", "large", own.alias("own")))
+    others = dealt.select("group", F.col("own").alias("other"), F.when(F.col("large"), F.col("component")).alias("alone")).distinct()
+    met = dealt.join(others, "group").where("NOT large OR alone IS NULL OR alone <> component")
+    rows = met.join(sets, "node").select("group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "weighted", "sketch")
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("node")
+        low, high = part["low"].iloc[0], part["high"].iloc[0]
+        left, right = part[part["own"] == low], part[part["own"] == high]
+        x, y = (np.frombuffer(b"".join(p["sketch"]), np.uint32).reshape(len(p), -1) for p in (left, right))
+        cx, cy = left["component"].to_numpy(), right["component"].to_numpy()
+        parent = {c: c for c in (*cx.tolist(), *cy.tolist())}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        tried, nx, ny = [], left["node"].to_numpy(), right["node"].to_numpy()
+        for i in range(len(left)):
+            agree = (y == x[i]).mean(axis=1)
+            near = np.flatnonzero((agree >= similarity - SLACK) & (cy != cx[i]))
+            tried += [(-agree[j], i, int(j)) for j in near if low != high or j > i]
+        out, wx, wy = [], left["weighted"].tolist(), right["weighted"].tolist()
+        for _, i, j in sorted(tried):
+            a, b = root(int(cx[i])), root(int(cy[j]))
+            if a != b and probability_jaccard(*_opened(wx[i]), *_opened(wy[j])) >= similarity - 1e-12:
+                parent[b] = a
+                out.append((min(nx[i], ny[j]), max(nx[i], ny[j])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return rows.groupBy("group", "low", "high").applyInPandas(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, component_id, kept) for every distinct doc_id of (doc_id, text).
 
@@ -193,11 +241,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     with several texts count as linked; a null doc_id is left out.
 
     Buckets have no cap. Each is first compared with its smallest class. Where
-    members of a bucket then lie in different components, a small bucket is
-    compared pair by pair, and a large one with some leaders a round that leave
-    it, until one component is left or every pair has been compared. Pairs
-    within one component need no comparison, so a group of thousands of near
-    copies costs about one comparison each.
+    members of a bucket then lie in different components, these components form
+    a group, and what is not yet joined in it is compared block by block. So a
+    group of thousands of near copies costs about one comparison each, and
+    those that stay apart from it one with each of its members.
     """
     found = settle(features(docs))
     classes = settle(found.groupBy("content").agg(F.min("doc_id").alias("class_id")).join(found.select("doc_id", "content").distinct(), "content").select("doc_id", "class_id").distinct())
@@ -207,37 +254,24 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     leaders = found.groupBy("content").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("node"))
     banded = leaders.select("node", F.posexplode("bands").alias("band", "key"))
     bucket = banded.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
-    members = settle(banded.join(bucket, ["band", "key"]).select(F.xxhash64("band", "key").alias("bucket"), "node", "leader", "size"))
-    if members.isEmpty():
-        sets = None
-    else:
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-        wanted = texts.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        sets = settle(weighted_sets(wanted.groupBy("doc_id").agg(F.min("text").alias("text"))))
-    edges = [settle(links)]
-    if sets is not None:
-        tried = members.where("node <> leader").select(*_ordered(F.col("leader"), F.col("node"))).distinct()
-        edges.append(settle(verified(tried, sets, similarity)))
-    label = settle(components(_union(edges)))
-    turn = 0
-    while sets is not None:
-        open_rows = _open_buckets(members, label, turn)
-        if open_rows is None:
-            break
-        small = open_rows.where(F.col("size") <= SMALL_BUCKET)
-        other = small.select("bucket", F.col("node").alias("other"), F.col("component").alias("there"))
-        close = small.join(other, "bucket").where("node < other and component <> there").select(*_ordered(F.col("node"), F.col("other")))
-        large = open_rows.where((F.col("size") > SMALL_BUCKET) & (F.col("place") > 0))
-        ahead = open_rows.where((F.col("size") > SMALL_BUCKET) & (F.col("place") <= LEADERS)).select("bucket", F.col("node").alias("other"), F.col("component").alias("there"), F.col("place").alias("rank"))
-        led = large.join(ahead, "bucket").where("place > rank and component <> there").select(*_ordered(F.col("node"), F.col("other")))
-        more = settle(verified(close.union(led).distinct(), sets, similarity))
-        edges.append(more)
-        rest = settle(open_rows.where((F.col("size") > SMALL_BUCKET) & (F.col("place") > LEADERS)).select("bucket", "node", F.lit(0).cast("long").alias("leader"), (F.col("size") - LEADERS).alias("size")))
-        discard(members, open_rows)
-        members, turn = rest, turn + 1
-        if not more.isEmpty():
-            old, label = label, settle(components(_union(edges)))
-            discard(old)
+    members = settle(banded.join(bucket, ["band", "key"]).select(F.xxhash64("band", "key").alias("bucket"), "node", "leader"))
+    discard(found)
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
+    wanted = texts.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = settle(weighted_sets(wanted.groupBy("doc_id").agg(F.min("text").alias("text"))))
+    tried = members.where("node <> leader").select(*_ordered(F.col("leader"), F.col("node"))).distinct()
+    first = settle(links.union(verified(tried, sets, similarity)))
+    label = settle(components(first))
+
+    named = members.join(label, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket", "low")
+    opened = settle(named.join(mixed, "bucket").select("node", "component", "low").distinct())
+    groups = components(opened.select(F.col("low").alias("a"), F.col("component").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("group"))
+    nodes = opened.select("node", "component").distinct().join(groups, "component")
+    more = settle(cross_links(nodes, sets, similarity))
+    label = settle(components(first.union(more)))
+
     grouped = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     named = grouped.join(label.withColumnRenamed("node", "class_id"), "class_id", "left").select("doc_id", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     every = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
@@ -246,28 +280,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     return out.select("doc_id", F.coalesce("class_id", own).alias("class_id"), F.coalesce("component_id", own).alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.union(f)
-    return out
-
-
-def _open_buckets(members: DataFrame, label: DataFrame, turn: int) -> DataFrame | None:
-    """Rows of buckets whose members lie in several components, with their place in a shuffled order; None if there are none."""
-    named = members.join(label.select("node", "component"), "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    rows = named.join(mixed, "bucket")
-    order = F.struct(F.xxhash64("node", F.lit(turn)), "node")
-    # the first few of each bucket lead; the window's group limit cuts all others before the shuffle
-    first = rows.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(order))).where(F.col("place") <= LEADERS).select("bucket", "node", "place")
-    placed = settle(rows.join(first, ["bucket", "node"], "left").withColumn("place", F.coalesce("place", F.lit(LEADERS + 1))))
-    if placed.isEmpty():
-        discard(placed)
-        return None
-    return placed
-
-
 def op10_probminhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
