@@ -36,6 +36,8 @@ def parse_nights(text: Column) -> Column:
 
 
 def nights_from_days(days: Column) -> Column:
+    """Days as a number or its text; fractions are cut off, anything else counts as no day."""
+    days = days.try_cast("double").try_cast("int")
     return F.greatest(F.coalesce(days, F.lit(0)) - 1, F.lit(0)).cast("int")
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from faremeld.functions.names import MATCH_KEY
-from faremeld.operators.bounded import broadcast_if_small
 
 
 def snapshot_calendar(snapshots: DataFrame) -> DataFrame:
@@ -29,7 +28,7 @@ def price_changes(
     `dropped`: the sailing is gone in the next snapshot. A snapshot holds a
     sailing at most once, so a window sees at most one row per snapshot.
     """
-    calendar = broadcast_if_small(snapshot_calendar(snapshots))
+    calendar = snapshot_calendar(snapshots)
     w = Window.partitionBy(*key).orderBy("snapshot_date")
     rows = snapshots.join(calendar, "snapshot_date").withColumns(
         {

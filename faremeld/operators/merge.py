@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faremeld.functions.names import with_match_key
-from faremeld.operators.bounded import broadcast_if_small
 from faremeld.operators.dedupe import best_quotes
 from faremeld.operators.fx import apply_rate
 from faremeld.operators.ordering import in_output_order
@@ -32,8 +31,8 @@ def rows_after_run(current: DataFrame, previous: DataFrame, status: DataFrame) -
     not run come last, in order of first appearance. Both inputs carry
     `row_ord`, an array of positions.
     """
-    status = broadcast_if_small(status.select("source", "ok", F.col("src_ord").cast("bigint").alias("src_ord")))
-    first_rows = broadcast_if_small(previous.groupBy("source").agg(F.min("row_ord").alias("first_row")))
+    status = status.select("source", "ok", F.col("src_ord").cast("bigint").alias("src_ord"))
+    first_rows = previous.groupBy("source").agg(F.min("row_ord").alias("first_row"))
 
     fresh = mark_fresh(current.join(status.where("ok"), "source"))
     fresh = fresh.withColumn("ord", F.concat(F.array("src_ord"), "row_ord"))

@@ -16,7 +16,7 @@ from faremeld.operators.ordering import in_output_order
 from faremeld.operators.quality import run_report, run_totals, unmapped_names, unmapped_warning
 from faremeld.plans import publish
 from faremeld.schemas import FX, QUOTES, RUN_STATUS
-from faremeld.sources.registry import Source, default_sources
+from faremeld.sources.registry import Source, default_sources, select_sources
 
 
 class SourceError(RuntimeError):
@@ -41,14 +41,14 @@ def run_source(source: Source, raw: tuple, start: date, end: date, stage: str) -
     started = time.monotonic()
     outcome = {"source": source.name, "ok": True, "error": None}
     try:
-        reasons = source.health(*raw).take(1)
-        if reasons:
-            raise SourceError(reasons[0]["error"])
+        reasons = source.health(*raw).agg(F.min("error").alias("error"), F.count_distinct("error").alias("kinds")).first()
+        if reasons["kinds"]:
+            raise SourceError(reasons["error"] + (f" (and {reasons['kinds'] - 1} other faults)" if reasons["kinds"] > 1 else ""))
         source.parse(*raw, start, end).write.mode("overwrite").parquet(stage)
     except SourceError as exc:
         outcome.update(ok=False, error=str(exc))
     except Exception as exc:  # noqa: BLE001 - one source must not end the run
-        outcome.update(ok=False, error=f"{type(exc).__name__}: {exc}".strip()[:2000])
+        outcome.update(ok=False, error=f"{type(exc).__name__}: {exc}".strip())
     outcome["duration_s"] = time.monotonic() - started
     return outcome
 
@@ -74,7 +74,10 @@ def run(
     """
     registry = registry or default_sources()
     end = start + timedelta(days=lookahead_days)
-    selected = selected if selected is not None else [s for s in fv.ALL_SOURCES if s in raw]
+    if selected is None:
+        selected = [name for name in registry if name in select_sources(",".join(raw), tuple(registry))] if raw else []
+    elif selected:
+        selected = select_sources(",".join(selected), tuple(registry))
     outcomes = []
     for i, name in enumerate(selected):
         stage = f"{out}/stage/run={start.isoformat()}/source={name}"

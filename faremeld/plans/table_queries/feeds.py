@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faremeld.operators.bounded import spread
 from faremeld.schemas import PRICE, as_quotes
 
 RATE = "31.966724"
@@ -20,8 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table ahead of much work per row, read by every core."""
-    return spread(table(spark, sf_dir, name))
+    """A table ahead of much work per row; `spark.sql.files.maxPartitionBytes` splits its scan."""
+    return table(spark, sf_dir, name)
 
 
 def quote_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

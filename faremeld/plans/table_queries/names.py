@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faremeld.functions import names
-from faremeld.operators.bounded import broadcast_if_small
 from faremeld.operators.quality import unmapped_names, unmapped_warning
 from faremeld.plans.table_queries.feeds import raw_table, table
 from faremeld.plans.table_queries.registry import query
@@ -222,7 +221,7 @@ SELECT n_name AS depart_port, count(*) AS n FROM (
   FROM customer JOIN nation ON c_nationkey = n_nationkey) WHERE n_name IN ('Keelung', 'Tokyo') GROUP BY ALL""",
 )
 def target_ports(spark, sf_dir):
-    nation = broadcast_if_small(table(spark, sf_dir, "nation"))
+    nation = table(spark, sf_dir, "nation")
     port = F.when(F.col("n_nationkey") % 5 == 0, "Keelung").when(F.col("n_nationkey") % 5 == 1, "Tokyo").otherwise(F.col("n_name"))
     rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return in_target_ports(rows.select(port.alias("depart_port"))).groupBy("depart_port").agg(F.count("*").alias("n"))
@@ -255,6 +254,6 @@ def dim_lookup(spark, sf_dir):
     )
     region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
     rows = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "nation_id")
-    rows = look_up(rows, broadcast_if_small(nation), "nation_id", {"nation": "name", "region_id": "region_id"})
-    rows = look_up(rows, broadcast_if_small(region), "region_id", {"region": "name"})
+    rows = look_up(rows, nation, "nation_id", {"nation": "name", "region_id": "region_id"})
+    rows = look_up(rows, region, "region_id", {"region": "name"})
     return rows.select("s_suppkey", F.coalesce("nation", F.lit("")).alias("nation"), F.coalesce("region", F.lit("")).alias("region"))

@@ -25,7 +25,7 @@ from faremeld.schemas import as_quotes
 
 NAME = "asiayo"
 ITEM = (
-    "struct<id:string,name:string,activityDays:int,availableDates:array<string>,price:string,"
+    "struct<id:string,name:string,activityDays:string,availableDates:array<string>,price:string,"
     "port:struct<id:string,name:string>,journey:struct<daily:array<struct<description:string>>>>"
 )
 

@@ -24,10 +24,10 @@ from faremeld.operators.quality import stream_health
 from faremeld.schemas import as_quotes
 
 NAME = "bwt"
-MAINS = "array<struct<mainGroupCode:string,groupName:string,hasCruisePrice:boolean>>"
+MAINS = "array<struct<mainGroupCode:string,groupName:string,hasCruisePrice:string>>"
 DETAILS = (
     "array<struct<mainGroupCode:string,departure:string,groups:array<struct<leaveDate:string,"
-    "groupDay:int,price:string,groupName:string,groupCode:string>>>>"
+    "groupDay:string,price:string,groupName:string,groupCode:string>>>>"
 )
 
 
@@ -85,7 +85,7 @@ def to_rows(joined: DataFrame, start, end) -> DataFrame:
     number = F.nullif(number, F.lit(fv.BWT_NO_PRICE).cast("decimal(38,4)"))
     is_number = F.col("departure.price").try_cast("decimal(38,4)").isNotNull()
     kept = (
-        joined.where((departure == fv.BWT_DEPARTURE) & F.col("main.hasCruisePrice"))
+        joined.where((departure == fv.BWT_DEPARTURE) & ~F.lower(F.coalesce(F.col("main.hasCruisePrice"), F.lit(""))).isin("", "0", "0.0", "false", "[]", "{}"))
         .withColumns(
             {
                 "depart_port": match_port(F.col("detail.departure")),

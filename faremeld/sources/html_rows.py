@@ -6,14 +6,19 @@ parsed value (dates, prices, ports, nights) is a column expression.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from faremeld.sources import html_tree
 
+# Executors need no copy of this package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__package__.partition(".")[0]])
+
 
 def explode_pages(
     pages: DataFrame,
@@ -32,14 +37,14 @@ def explode_pages(
         + [T.StructField(n, t) for n, t in fields]
     )
     arrow_schema = to_arrow_schema(schema)
-    names = [n for n, _ in fields]
+    names, parse = [n for n, _ in fields], html_tree.parse
 
     def run(batches):
         for batch in batches:
             kept = {c: batch.column(c) for c in keep}
             source, row_no, cells = [], [], {n: [] for n in names}
             for i, page in enumerate(batch.column(html).to_pylist()):
-                for no, record in enumerate(read(html_tree.parse(page))):
+                for no, record in enumerate(read(parse(page))):
                     source.append(i)
                     row_no.append(no)
                     for n in names:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from functools import lru_cache
 from html import unescape
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -156,11 +155,15 @@ def attr_at(node: Node, path: str, name: str) -> str | None:
     return found.attrs.get(name) if found is not None else None
 
 
-@lru_cache(maxsize=None)
+_COMPILED: dict[str, tuple] = {}  # the readers' few paths
+
+
 def _compile(path):
-    return tuple(
-        tuple((kind, word, attr, part) for kind, word, attr, _, part in _PART.findall(step)) for step in path.split()
-    )
+    if path not in _COMPILED:
+        _COMPILED[path] = tuple(
+            tuple((kind, word, attr, part) for kind, word, attr, _, part in _PART.findall(step)) for step in path.split()
+        )
+    return _COMPILED[path]
 
 
 def _matches(node, tests):

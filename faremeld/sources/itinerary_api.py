@@ -12,7 +12,6 @@ from faremeld import fixed_values as fv
 from faremeld.functions.dates import in_window, parse_date
 from faremeld.functions.money import lowest_positive, parse_nights, parse_price, positive
 from faremeld.functions.names import match_port
-from faremeld.operators.bounded import broadcast_if_small
 from faremeld.operators.quality import dimension_missing
 from faremeld.schemas import as_quotes
 
@@ -71,7 +70,7 @@ def currency_of(prices: Column) -> Column:
 
 def to_rows(items: DataFrame, ports: DataFrame, ships: DataFrame, lines: DataFrame, start, end) -> DataFrame:
     """One row per package in the window. Look-ups come before the explode."""
-    ports, ships, lines = (broadcast_if_small(d) for d in (ports, ships, lines))
+    ports, ships, lines = (d for d in (ports, ships, lines))
     flat = items.select("item_no", "scraped_at", F.from_json("payload", ITEM).alias("i")).withColumns(
         {
             "depart_code": F.col("i.itinerary.departure.code"),

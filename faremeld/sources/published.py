@@ -132,12 +132,13 @@ def read_previous_rate(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_snapshots(spark: SparkSession, pattern: str) -> DataFrame:
-    """All dated snapshot files as one table with `snapshot_date`.
+    """All dated snapshot files as one table with `snapshot_date`; a damaged row or file ends the job.
 
     Both file generations are read by the one schema; the date is the name.
     """
+    unreadable = F.raise_error(F.concat(F.lit("unreadable snapshot: "), F.col("_metadata.file_path")))
     envelopes = read_published_text(spark, pattern).select(
-        "*", F.to_date(F.regexp_extract("_metadata.file_name", r"(\d{4}-\d{2}-\d{2})", 1)).alias("snapshot_date")
+        F.when(F.col("deals").isNull(), unreadable).otherwise(F.col("deals")).alias("deals"), F.to_date(F.regexp_extract("_metadata.file_name", r"(\d{4}-\d{2}-\d{2})", 1)).alias("snapshot_date")
     )
     rows = envelopes.select("snapshot_date", F.posexplode("deals").alias("_pos", "_d"))
     flat = rows.select(
@@ -145,4 +146,6 @@ def read_snapshots(spark: SparkSession, pattern: str) -> DataFrame:
         *[F.col(f"_d.{n}").alias(n) for n, _ in QUOTE_FIELDS],
         F.array(F.col("_pos").cast("bigint")).alias("row_ord"),
     )
-    return as_quotes(decode(flat).where("NOT _damaged"), "snapshot_date", "row_ord")
+    damaged = F.raise_error(F.concat(F.lit("damaged row in the snapshot of "), F.col("snapshot_date").cast("string")))
+    whole = decode(flat).where(F.when(F.col("_damaged"), damaged.cast("boolean")).otherwise(F.lit(True)))
+    return as_quotes(whole, "snapshot_date", "row_ord")
