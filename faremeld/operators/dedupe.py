@@ -63,22 +63,24 @@ def best_quotes(
     """
     rank = F.struct(amount().isNull(), amount(), F.col(order))
     carried = [c for c in quotes.columns if c not in key]
-    winners = quotes.groupBy(*key).agg(
+    # Inside a struct, null equals null, so that the join keeps null keys.
+    keyed = F.struct(*key).alias("_key")
+    winners = quotes.groupBy(keyed).agg(
         F.min_by(F.struct(*carried), rank).alias("_row"), F.min(order).alias("first_seen")
     )
 
-    newest_first = Window.partitionBy(*key, "source").orderBy(F.col(order).desc())
+    newest_first = Window.partitionBy("_key", "source").orderBy(F.col(order).desc())
     last_two = (
-        quotes.select(*key, "source", order, quote_entry().alias("entry"))
+        quotes.select(keyed, "source", order, quote_entry().alias("entry"))
         .withColumn("_rn", F.row_number().over(newest_first))
         .where("_rn <= 2")
     )
     # At most two short rows per source meet here.
-    rivals = last_two.groupBy(*key).agg(
+    rivals = last_two.groupBy("_key").agg(
         F.collect_list(F.struct("source", "_rn", F.col(order).alias("_ord"), "entry")).alias("_rivals")
     )
 
-    joined = winners.join(rivals, key, "left")
+    joined = winners.join(rivals, "_key", "left").select("_key.*", "_row", "first_seen", "_rivals")
     losing = F.sort_array(
         F.filter("_rivals", lambda x: x["_ord"] != F.col(f"_row.{order}"))
     )

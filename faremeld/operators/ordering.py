@@ -66,21 +66,19 @@ def previous_in_order(
     split by `bucket`, which must rise with `order` (a time truncated to the
     hour, say): `lag` runs inside buckets, and the first row of a bucket takes
     the last value of the key's bucket before it, from a summary with one row
-    per key and bucket.
+    per key and bucket. Rows with a null in the key form a group like others.
     """
-    split = rows.withColumn("_bucket", bucket)
-    inner = Window.partitionBy(*key, "_bucket").orderBy(*order)
+    # Inside a struct, null equals null, so that the join keeps null keys.
+    split = rows.withColumn("_key", F.struct(*key, bucket.alias("_bucket")))
+    inner = Window.partitionBy("_key").orderBy(*order)
     # A struct tells "no row before" from "a row with a null value before".
     boxed = F.struct(F.col(value).alias("v"))
-    split = split.withColumn("_prev", F.lag(boxed).over(inner))
-
-    ends = rows.withColumn("_bucket", bucket).groupBy(*key, "_bucket").agg(
-        F.max_by(boxed, F.struct(*order)).alias("_last")
-    )
-    outer = Window.partitionBy(*key).orderBy("_bucket")
-    ends = ends.select(*key, "_bucket", F.lag("_last").over(outer).alias("_before"))
+    ends = split.groupBy("_key").agg(F.max_by(boxed, F.struct(*order)).alias("_last"))
+    outer = Window.partitionBy(*[F.col("_key")[c] for c in key]).orderBy("_key._bucket")
+    ends = ends.select("_key", F.lag("_last").over(outer).alias("_before"))
     return (
-        split.join(ends, [*key, "_bucket"], "left")
+        split.withColumn("_prev", F.lag(boxed).over(inner))
+        .join(ends, "_key", "left")
         .withColumn(out, F.coalesce("_prev", "_before")["v"])
-        .drop("_bucket", "_prev", "_before")
+        .drop("_key", "_prev", "_before")
     )

@@ -32,19 +32,26 @@ class RunResult:
     all_failed: bool
 
 
-def run_source(source: Source, raw: tuple, start: date, end: date, stage: str) -> dict:
+def run_source(source: Source, raw: tuple, start: date, end: date, stage: str | None) -> dict:
     """Read one source into a staged table; any fault fails only this source.
 
     The written table ends the lineage of the raw pages: later steps read it,
-    and a lost executor costs a re-read, not a re-parse.
+    and a lost executor costs a re-read, not a re-parse. Without a `stage`
+    nothing is written: the rows are read once to meet faults, then again.
     """
     started = time.monotonic()
-    outcome = {"source": source.name, "ok": True, "error": None}
+    outcome = {"source": source.name, "ok": True, "error": None, "rows": None}
     try:
-        reasons = source.health(*raw).agg(F.min("error").alias("error"), F.count_distinct("error").alias("kinds")).first()
+        reasons = source.health(*raw, start, end).agg(F.min("error").alias("error"), F.count_distinct("error").alias("kinds")).first()
         if reasons["kinds"]:
             raise SourceError(reasons["error"] + (f" (and {reasons['kinds'] - 1} other faults)" if reasons["kinds"] > 1 else ""))
-        source.parse(*raw, start, end).write.mode("overwrite").parquet(stage)
+        rows = source.parse(*raw, start, end)
+        if stage is None:
+            rows.write.format("noop").mode("overwrite").save()
+        else:
+            rows.write.mode("overwrite").parquet(stage)
+            rows = rows.sparkSession.read.parquet(stage)
+        outcome["rows"] = rows
     except SourceError as exc:
         outcome.update(ok=False, error=str(exc))
     except Exception as exc:  # noqa: BLE001 - one source must not end the run
@@ -80,17 +87,17 @@ def run(
         selected = select_sources(",".join(selected), tuple(registry))
     outcomes = []
     for i, name in enumerate(selected):
-        stage = f"{out}/stage/run={start.isoformat()}/source={name}"
+        stage = None if dry_run else f"{out}/stage/run={start.isoformat()}/source={name}"
         result = run_source(registry[name], raw[name], start, end, stage)
-        outcomes.append((i, name, result["ok"], result["error"], result["duration_s"], stage))
+        outcomes.append((i, name, result["ok"], result["error"], result["duration_s"], result["rows"]))
     status = spark.createDataFrame([o[:5] for o in outcomes], RUN_STATUS)
 
     with_ord = QUOTES.fieldNames() + ["row_ord"]
     empty = spark.createDataFrame([], QUOTES).withColumn("row_ord", F.array().cast("array<bigint>"))
     current = empty
-    for _, _, ok, _, _, stage in outcomes:
-        if ok:
-            current = current.unionByName(spark.read.parquet(stage).select(*with_ord))
+    for *_, rows in outcomes:
+        if rows is not None:
+            current = current.unionByName(rows.select(*with_ord))
     if previous is None:
         previous = latest_published(spark, out)
     if previous is None:

@@ -94,7 +94,11 @@ PUBLISHED = T.StructType(
 
 
 def as_quotes(df: DataFrame, *extra: str) -> DataFrame:
-    """Project to the quote schema, filling fields the source does not carry."""
+    """Project to the quote schema, filling fields the source does not carry.
+
+    A price beyond 14 digits before the point is unreadable, hence null like
+    any other unreadable price: one absurd text must not fail its source.
+    """
     have = set(df.columns)
     defaults = {
         "depart_port_raw": F.lit(""),
@@ -109,5 +113,5 @@ def as_quotes(df: DataFrame, *extra: str) -> DataFrame:
     cols = []
     for name, dtype in QUOTE_FIELDS:
         col = F.col(name) if name in have else defaults.get(name, F.lit(None))
-        cols.append(col.cast(dtype).alias(name))
+        cols.append((col.try_cast(dtype) if name == "price" else col.cast(dtype)).alias(name))
     return df.select(*cols, *extra)

@@ -136,6 +136,12 @@ def page_health(pages: DataFrame) -> DataFrame:
 
 
 def health(pages: DataFrame, start=None, end=None) -> DataFrame:
-    return page_health(pages).where("verdict = 'unreadable'").select(
+    """Chunks whose first page claims results and yields none; an empty later page is a list's normal end.
+
+    Where pages of several ports share a chunk, a column `port_id` tells them apart.
+    """
+    chunk = [c for c in ("port_id", "chunk_start", "chunk_end") if c in pages.columns]
+    firsts = pages.groupBy(*chunk).agg(F.min("page_no").alias("page_no")).select("page_no")
+    return page_health(pages.join(firsts, "page_no", "left_semi")).where("verdict = 'unreadable'").select(
         F.concat(F.lit("ParseError: page "), "page_no", F.lit(" claims "), "claimed", F.lit(" results, none read")).alias("error")
     )

@@ -126,10 +126,16 @@ def parse(lines: DataFrame, start, end) -> DataFrame:
     return as_quotes(keep_cheapest(with_match_key(rows), MATCH_KEY), "row_ord")
 
 
+def verdicts(events: DataFrame) -> DataFrame:
+    """Per stream: has_end, has_start and verdict. A first step without any code is no start."""
+    codes = F.filter(F.from_json("data", MAINS), lambda m: F.coalesce(m["mainGroupCode"], F.lit("")) != "")
+    empty = (F.col("step") == "step1") & (F.coalesce(F.size(codes), F.lit(0)) <= 0)
+    return stream_health(events.withColumn("data", F.when(~empty, F.col("data"))), "stream_id", "step", "data")
+
+
 def health(lines: DataFrame, start=None, end=None) -> DataFrame:
     events = read_events(lines)
-    verdicts = stream_health(events, "stream_id", "step", "data")
-    bad = verdicts.where("verdict <> 'ok'").select(
+    bad = verdicts(events).where("verdict <> 'ok'").select(
         F.concat(F.lit("ParseError: stream "), "stream_id", F.lit(" "), "verdict").alias("error")
     )
     silent = events.agg(F.count("*").alias("n")).where("n = 0").select(

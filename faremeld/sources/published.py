@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from faremeld.functions.dates import parse_iso_date
-from faremeld.schemas import FX, OTHER_SOURCES, PRICE, PUBLISHED, QUOTE_FIELDS, QUOTES, RATE, as_quotes
+from faremeld.schemas import FX, OTHER_SOURCES, PRICE, PUBLISHED, PUBLISHED_DEAL, QUOTE_FIELDS, QUOTES, RATE, as_quotes
 
 # Fields a record cannot do without, and typed fields that must read if given.
 REQUIRED = ("source", "sail_date", "depart_port", "ship_name", "cruise_line", "nights", "scraped_at")
@@ -100,9 +100,56 @@ def all_or_nothing(decoded: DataFrame) -> DataFrame:
     return decoded.where(~bad.exists()).drop("_damaged")
 
 
+# Lines of a document in parts that are no record.
+IS_HEAD = "(startswith(value, '{') AND endswith(value, '\"deals\":['))"
+IS_END = "(value = ']}')"
+
+
+def document_lines(spark: SparkSession, path: str) -> DataFrame | None:
+    """(value, row_ord): the lines of a document that `write_json` wrote in parts; None for any other file.
+
+    A line's place is its part number, its block in the part, and its turn in the block.
+    """
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("bigint")
+    place = F.array(F.coalesce(part, F.lit(0)), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", place.alias("row_ord")).where("value <> ''")
+    return None if lines.where(IS_HEAD).isEmpty() else lines
+
+
+def deals_in_lines(lines: DataFrame) -> DataFrame:
+    """One text row per record line."""
+    record = F.from_json(F.regexp_replace("value", "^,", ""), PUBLISHED_DEAL)
+    rows = lines.where(f"NOT {IS_HEAD} AND NOT {IS_END}").select(record.alias("_d"), "row_ord")
+    return rows.select(*[F.col(f"_d.{n}").alias(n) for n, _ in QUOTE_FIELDS], "row_ord")
+
+
+def envelope_in_lines(lines: DataFrame) -> DataFrame:
+    """The head line as an envelope without quotes."""
+    head = F.from_json(F.concat("value", F.lit("]}")), PUBLISHED)
+    return lines.where(IS_HEAD).select(head.alias("_e")).select("_e.*")
+
+
+def _complete(lines: DataFrame) -> DataFrame:
+    """One row if no part is missing: one head, one end, as many records as the head counts; else none."""
+    claimed = F.from_json(F.concat("value", F.lit("]}")), PUBLISHED)["count"]
+    totals = lines.agg(
+        F.count_if(F.expr(IS_HEAD)).alias("heads"),
+        F.count_if(F.expr(IS_END)).alias("ends"),
+        F.count("*").alias("lines"),
+        F.max(F.when(F.expr(IS_HEAD), claimed)).alias("claimed"),
+    )
+    return totals.where("heads = 1 AND ends = 1 AND lines = claimed + 2")
+
+
 def read_previous(spark: SparkSession, path: str) -> DataFrame:
-    """Quotes published last time. A missing or damaged file counts as none."""
+    """Quotes published last time: one JSON file, or the parts of a document.
+
+    A missing or damaged file or part counts as none.
+    """
     try:
+        lines = document_lines(spark, path)
+        if lines is not None:
+            return all_or_nothing(decode(deals_in_lines(lines)).where(_complete(lines).exists()))
         envelopes = read_published_text(spark, path)
     except AnalysisException:
         return spark.createDataFrame([], QUOTES).withColumn("row_ord", F.array().cast("array<bigint>"))
@@ -126,7 +173,8 @@ def decode_rate(envelopes: DataFrame) -> DataFrame:
 
 def read_previous_rate(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return decode_rate(read_published_text(spark, path))
+        lines = document_lines(spark, path)
+        return decode_rate(read_published_text(spark, path) if lines is None else envelope_in_lines(lines))
     except AnalysisException:
         return spark.createDataFrame([], FX)
 

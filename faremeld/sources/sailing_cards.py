@@ -108,24 +108,30 @@ def parse(pages: DataFrame, start, end) -> DataFrame:
     return as_quotes(keep_last(with_match_key(rows), MATCH_KEY), "row_ord")
 
 
-def page_states(pages: DataFrame) -> DataFrame:
-    """Per page: cards seen, rows read and the state they mean."""
+def _states(pages: DataFrame, start, end) -> DataFrame:
+    """The page states with `collected`: rows inside the window."""
     cells = read_cells(readable_pages(pages))
     cards = cells.groupBy("page_no").agg(F.count_if(F.col("cells").isNull()).alias("cards"))
-    parsed = to_rows(cells).groupBy("page_no").agg(F.count("*").alias("parsed"))
+    inside = F.lit(True) if start is None else in_window(F.col("sail_date"), F.lit(start), F.lit(end))
+    parsed = to_rows(cells).groupBy("page_no").agg(F.count("*").alias("parsed"), F.count_if(inside).alias("collected"))
     return (
         pages.select("page_no", is_blocked(F.col("html"), F.col("title")).alias("blocked"))
         .join(cards, "page_no", "left")
         .join(parsed, "page_no", "left")
-        .na.fill(0, ["cards", "parsed"])
+        .na.fill(0, ["cards", "parsed", "collected"])
         .withColumn("state", page_state(F.col("blocked"), F.col("cards"), F.col("parsed")))
     )
 
 
+def page_states(pages: DataFrame) -> DataFrame:
+    """Per page: cards seen, rows read and the state they mean."""
+    return _states(pages, None, None).drop("collected")
+
+
 def health(pages: DataFrame, start=None, end=None) -> DataFrame:
-    """Why the source fails: an unreadable page, or only blocked pages."""
-    states = page_states(pages)
-    verdict = source_outcome(states.withColumn("source", F.lit(NAME)))
+    """Why the source fails: an unreadable page, or blocked pages and no row inside the window."""
+    states = _states(pages, start, end)
+    verdict = source_outcome(states.select(F.lit(NAME).alias("source"), "state", F.col("collected").alias("parsed")))
     unread = states.where("state IN ('no_cards', 'unreadable')").select(
         F.concat(F.lit("ParseError: page "), "page_no", F.lit(" is "), "state").alias("error")
     )

@@ -51,7 +51,7 @@ def fixed(name, make, error=None):
     return Source(
         name,
         lambda df, start, end: make(df),
-        lambda df: df.sparkSession.createDataFrame([(error,)] if error else [], "error string"),
+        lambda df, start, end: df.sparkSession.createDataFrame([(error,)] if error else [], "error string"),
     )
 
 
@@ -100,7 +100,7 @@ def test_exceptions_fail_only_their_source(spark, tmp_path):
     got = run(spark, raw, str(tmp_path), start=date(2026, 8, 13), selected=["icruise", "expedia"], registry=registry(icruise=1, expedia="boom"), dry_run=True)
     report = {r.source: r.ok for r in got.report.collect()}
     assert report == {"icruise": True, "expedia": False} and not got.all_failed
-    assert got.quotes.count() == 1 and got.rate.count() == 0 and not os.path.exists(tmp_path / "data")
+    assert got.quotes.count() == 1 and got.rate.count() == 0 and os.listdir(tmp_path) == []
 
 
 def test_snapshot_of_a_day_is_replaced(spark, tmp_path):
@@ -128,6 +128,37 @@ def test_previous_is_all_or_nothing(spark, tmp_path):
         assert read_previous_rate(spark, str(path)).count() == 0
 
 
+def test_document_in_parts_is_readable(spark, tmp_path):
+    rows = [quote(sail_date=date(2026, 8, 1 + i % 28), ship_name=f"Ship {i}", price=str(100 + i), price_twd=str(3200 + i), fx_rate="32") for i in range(40)]
+    rows[7]["other_sources"] = {"bwt": ("1", "TWD", "1")}
+    quotes = quotes_df(spark, rows).withColumn("first_seen", F.col("row_ord"))
+    rate = spark.sql("SELECT named_struct('usd_twd', 32.5BD, 'as_of', DATE'2026-08-13', 'source', 's', 'stale', false) AS r").select(F.col("r").cast(FX)).first()[0]
+    rate = F.struct(*[F.lit(rate[n]).cast(FX[n].dataType).alias(n) for n in FX.fieldNames()])
+    report = spark.createDataFrame([], RUN_STATUS).withColumn("count", F.lit(0))
+    head = publish.envelope_head(report, rate, F.array().cast("array<string>"), F.lit(datetime(2026, 8, 13, tzinfo=timezone.utc)), F.lit(40))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    path = str(tmp_path / "d")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "6")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        publish.write_json(quotes, head, path)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    parts = sorted(p for p in glob.glob(f"{path}/part-*") if os.path.getsize(p))
+    assert len(parts) >= 4
+    back = read_previous(spark, path).orderBy("row_ord").collect()
+    assert [(r.sail_date, r.ship_name) for r in back] == [(r["sail_date"], r["ship_name"]) for r in sorted(rows, key=lambda r: (r["sail_date"], r["price_twd"]))]
+    assert {r.ship_name: {k: tuple(v) for k, v in r.other_sources.items()} for r in back if r.other_sources} == {"Ship 7": {"bwt": ("1", "TWD", "1")}}
+    assert read_previous_rate(spark, path).first().usd_twd == Decimal("32.5")
+    # Without one of its parts the document is damaged, as a whole.
+    copy = tmp_path / "damaged"
+    copy.mkdir()
+    for p in parts[:2] + parts[3:]:
+        (copy / os.path.basename(p)).write_bytes(open(p, "rb").read())
+    assert read_previous(spark, str(copy)).count() == 0
+
+
 def test_both_generations_of_snapshots(spark, tmp_path):
     new = json.loads(json.dumps(OLD))
     new["deals"][0].update(price_twd="12065", fx_rate="31.8", other_sources={"x": {"price": "1", "currency": "TWD", "price_twd": "1"}, "y": {"price": None}})

@@ -221,7 +221,12 @@ def test_embedded_page_health(spark):
     pages = [flight(embedded(1, "A", []), total=6), flight(total=12), "<html>nothing here</html>"]
     got = {r.page_no: (r.claimed, r.parsed, r.verdict) for r in embedded_items.page_health(pages_df(spark, pages)).collect()}
     assert got == {0: (6, 1, "ok"), 1: (12, 0, "unreadable"), 2: (0, 0, "empty")}
-    assert embedded_items.health(pages_df(spark, pages)).count() == 1
+    # Only the first page of a chunk is judged; an empty later one ends the list.
+    assert embedded_items.health(pages_df(spark, pages)).count() == 0
+    second = pages_df(spark, pages).where("page_no > 0")
+    assert embedded_items.health(second).count() == 1
+    two = pages_df(spark, pages).withColumn("port_id", F.col("page_no") % 2)
+    assert [r.error for r in embedded_items.health(two).collect()] == ["ParseError: page 1 claims 12 results, none read"]
 
 
 # --- event stream --------------------------------------------------------------------
@@ -280,6 +285,8 @@ def test_incomplete_streams_fail(spark):
     assert "incomplete" in event_stream.health(cut).first().error
     assert "no_start" in event_stream.health(no_start).first().error
     assert event_stream.health(lines_df(spark, [": keep-alive"])).count() == 1
+    no_code = lines_df(spark, [step("step1", [{"groupName": "x"}, {"mainGroupCode": ""}]), step("step2", []), step("step3", {})])
+    assert "no_start" in event_stream.health(no_code).first().error
 
 
 # --- result tables ---------------------------------------------------------------------
@@ -373,6 +380,11 @@ def test_card_health(spark):
     errors = lambda *h: [r.error.split(":")[0] for r in sailing_cards.health(html_df(spark, list(h))).collect()]
     assert errors(good) == [] and errors(good, "cf-chl") == []
     assert errors("cf-chl") == ["BlockedError"] and errors(good, empty) == ["ParseError"]
+    # Rows outside the window are no reason to trust a run with blocked pages.
+    late = html_df(spark, [good, "cf-chl"])
+    assert sailing_cards.health(late, date(2027, 1, 1), date(2027, 2, 1)).count() == 1
+    assert sailing_cards.health(late, START, END).count() == 0
+    assert sailing_cards.health(html_df(spark, [good]), date(2027, 1, 1), date(2027, 2, 1)).count() == 0
 
 
 def test_block_page_detection(spark):
