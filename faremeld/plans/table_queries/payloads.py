@@ -347,9 +347,7 @@ SELECT o_orderkey AS stream_id, o_orderkey % 5 <> 0 AS has_end, true AS has_star
        CASE WHEN o_orderkey % 5 = 0 THEN 'incomplete' ELSE 'ok' END AS verdict FROM orders""",
 )
 def stream_verdicts(spark, sf_dir):
-    from faremeld.operators.quality import stream_health
-
-    return stream_health(event_stream.read_events(_stream_lines(spark, sf_dir)), "stream_id", "step", "data")
+    return event_stream.verdicts(event_stream.read_events(_stream_lines(spark, sf_dir)))
 
 
 @query(

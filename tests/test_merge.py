@@ -8,11 +8,11 @@ from conftest import quote, quotes_df
 from pyspark.sql import functions as F
 
 from faremeld.functions.names import with_match_key
-from faremeld.operators.dedupe import keep_cheapest, keep_last
+from faremeld.operators.dedupe import best_quotes, keep_cheapest, keep_last
 from faremeld.operators.merge import merge_run
 from faremeld.operators.ordering import in_output_order, previous_in_order, sort_numeric, sort_text, with_position
 from faremeld.operators.quality import run_report, run_totals, unmapped_names, unmapped_warning
-from faremeld.schemas import RUN_STATUS
+from faremeld.schemas import RUN_STATUS, as_quotes
 
 RATE = "32"
 
@@ -268,3 +268,19 @@ def test_unmapped_warning(spark):
     df = quotes_df(spark, [quote(ship_name="愛達魔都號"), quote(ship_name="愛達魔都號"), quote()])
     assert [r.warning for r in unmapped_warning(unmapped_names(df)).collect()] == ["這些船名沒有英文對照，無法跨來源比價：愛達魔都號"]
     assert unmapped_warning(unmapped_names(quotes_df(spark, [quote()]))).collect() == []
+
+
+def test_null_keys_keep_their_rows(spark):
+    rows = [quote(ship_name="A", price_twd="10"), quote(ship_name="A", source="bwt", price_twd="20")]
+    df = quotes_df(spark, rows).withColumn("k", F.lit(None).cast("string"))
+    got = best_quotes(df, ["k"], "row_ord").collect()
+    assert [(r.source, list(r.other_sources), r.k) for r in got] == [("icruise", ["bwt"], None)]
+
+    df = spark.createDataFrame([(None, 1, "x"), (None, 60, "y"), ("u", 2, "z")], "u string, t int, v string")
+    got = previous_in_order(df, ["u"], ["t"], "v", F.floor(F.col("t") / 50), "p").collect()
+    assert {(r.u, r.t): r.p for r in got} == {(None, 1): None, (None, 60): "x", ("u", 2): None}
+
+
+def test_absurd_price_is_unreadable(spark):
+    df = spark.sql("SELECT source, CAST(p AS decimal(38,4)) AS price FROM VALUES ('a', '123456789012345678'), ('b', '12.5') AS t(source, p)")
+    assert {r.source: r.price for r in as_quotes(df).collect()} == {"a": None, "b": Decimal("12.5")}
