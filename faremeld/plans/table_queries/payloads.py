@@ -87,7 +87,7 @@ FROM o JOIN ports dp ON o_custkey % 25 = dp.code AND dp.code % 3 <> 2
 LEFT JOIN ports ap ON o_custkey % 30 = ap.code
 LEFT JOIN supplier ON o_custkey % 1000 = s_suppkey
 LEFT JOIN nation n ON s_nationkey = n_nationkey
-WHERE d {_IN_WINDOW} AND o_orderkey > 0""",
+WHERE d {_IN_WINDOW}""",
 )
 def nested_items(spark, sf_dir):
     """Items flattened to one row per package, with three look-up tables."""
@@ -99,7 +99,7 @@ def nested_items(spark, sf_dir):
     ships = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").cast("string").alias("line_id")
     )
-    rows = itinerary_api.to_rows(_items(spark, sf_dir).where("item_no > 0"), ports, ships, lines, FIRST, LAST)
+    rows = itinerary_api.to_rows(_items(spark, sf_dir), ports, ships, lines, FIRST, LAST)
     return rows.select(
         F.col("row_ord")[0].alias("item_no"),
         _day(),
@@ -353,17 +353,18 @@ def stream_verdicts(spark, sf_dir):
 @query(
     "step_join",
     """
-SELECT c_custkey, c_name, latest.o_orderkey AS latest_order, n.o_orderkey AS order_no
-FROM customer JOIN (SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL) latest ON c_custkey = latest.o_custkey
-JOIN orders n ON n.o_custkey = c_custkey WHERE c_custkey % 2 = 0""",
+SELECT o_orderkey AS stream_id, kind || o_orderkey AS code, cruise AS has_cruise_price, 'G' || o_orderkey || suffix AS group_code
+FROM orders, (VALUES ('M', 'true'), ('F', 'false')) m(kind, cruise), (VALUES ('a'), ('b'), ('c'), ('d')) g(suffix)""",
 )
 def step_join(spark, sf_dir):
-    """Orders joined to their customer's last order: last entry wins."""
-    orders = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("order_no"))
-    latest = orders.groupBy("o_custkey").agg(F.max("order_no").alias("latest_order"))
-    customers = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select("c_custkey", "c_name")
-    mains = customers.join(latest, F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
-    return orders.join(mains, F.col("o_custkey") == F.col("c_custkey")).select("c_custkey", "c_name", "latest_order", "order_no")
+    """Step 2 joined to step 1: the last entry of a code wins, details of an unknown code go."""
+    joined = event_stream.departures(event_stream.read_events(_stream_lines(spark, sf_dir)))
+    return joined.select(
+        "stream_id",
+        F.col("mainGroupCode").alias("code"),
+        F.col("main.hasCruisePrice").alias("has_cruise_price"),
+        F.col("departure.groupCode").alias("group_code"),
+    )
 
 
 # --- HTML result tables and cards ------------------------------------------------
