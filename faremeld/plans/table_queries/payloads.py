@@ -82,7 +82,7 @@ SELECT o_orderkey AS item_no, CAST(d AS VARCHAR) AS sail_date,
   coalesce(s_name, '') AS ship_name, coalesce(n.n_name, '') AS cruise_line, o_orderkey % 9 AS nights,
   coalesce(rtrim(rtrim(CAST(CASE WHEN o_orderkey % 3 = 0 AND p > 500 THEN p - 500 WHEN p > 0 THEN p END AS VARCHAR), '0'), '.'), '') AS price,
   CASE WHEN o_orderkey % 4 = 0 THEN 'CAD' ELSE 'USD' END AS currency,
-  'https://bookus.expediacruises.com/swift/cruise/package/' || o_orderkey || '?siid=1095905&lang=1' AS detail_url
+  CASE WHEN o_orderkey = 0 THEN '' ELSE 'https://bookus.expediacruises.com/swift/cruise/package/' || o_orderkey || '?siid=1095905&lang=1' END AS detail_url
 FROM o JOIN ports dp ON o_custkey % 25 = dp.code AND dp.code % 3 <> 2
 LEFT JOIN ports ap ON o_custkey % 30 = ap.code
 LEFT JOIN supplier ON o_custkey % 1000 = s_suppkey
