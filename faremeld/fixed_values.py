@@ -160,14 +160,12 @@ DATE_FORMATS = (
 ICRUISE_BASE = "https://www.icruise.com"
 ICRUISE_PAGE_LIMIT = 25
 EXPEDIA_CABINS = ("Inside", "Outside", "Balcony", "Suite")
-EXPEDIA_URL_HEAD = "https://bookus.expediacruises.com/swift/cruise/package/"
-EXPEDIA_URL_TAIL = "?siid=1095905&lang=1"
+EXPEDIA_URL = "https://bookus.expediacruises.com/swift/cruise/package/{id}?siid=1095905&lang=1"
 EXPEDIA_NOTE = "各房型最低價（每人）"
 CRUISEDIRECT_NOTE = "各房型最低價（每人，含稅費）"
-ASIAYO_URL_HEAD = "https://asiayo.com/zh-tw/cruise/item/"
-ASIAYO_URL_MID = "/?activityStartDate="
+ASIAYO_URL = "https://asiayo.com/zh-tw/cruise/item/{id}/?activityStartDate={date}"
 ASIAYO_NOTE = "行程總價（每人，2 人一室起）"
-BWT_URL_HEAD = "https://www.bwt.com.tw/Tour/"
+BWT_URL = "https://www.bwt.com.tw/Tour/{code}"
 BWT_NOTE = "團費（每人，2 人一室）"
 BWT_DEPARTURE = "基隆港"
 BWT_NO_PRICE = 99999999

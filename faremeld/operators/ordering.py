@@ -18,16 +18,25 @@ def in_output_order(quotes: DataFrame, tie: str = "first_seen") -> DataFrame:
     return quotes.orderBy(*output_keys(tie))
 
 
+def numeric_key(value: Column, ascending: bool = True) -> Column:
+    """Sort key of a number: empty values last either way."""
+    return value.asc_nulls_last() if ascending else value.desc_nulls_last()
+
+
+def text_key(value: Column, ascending: bool = True) -> Column:
+    """Sort key of a text, letter case secondary; a missing text counts as empty."""
+    collated = F.collate(F.coalesce(value, F.lit("")), "UNICODE")
+    return collated.asc() if ascending else collated.desc()
+
+
 def sort_numeric(rows: DataFrame, value: Column, ascending: bool = True, *ties: Column) -> DataFrame:
-    """Numeric column sort of the page: empty values last either way."""
-    key = value.asc_nulls_last() if ascending else value.desc_nulls_last()
-    return rows.orderBy(key, *ties)
+    """Numeric column sort of the page."""
+    return rows.orderBy(numeric_key(value, ascending), *ties)
 
 
 def sort_text(rows: DataFrame, value: Column, ascending: bool = True, *ties: Column) -> DataFrame:
-    """Text column sort of the page, letter case secondary."""
-    collated = F.collate(F.coalesce(value, F.lit("")), "UNICODE")
-    return rows.orderBy(collated.asc() if ascending else collated.desc(), *ties)
+    """Text column sort of the page."""
+    return rows.orderBy(text_key(value, ascending), *ties)
 
 
 def with_position(rows: DataFrame, keys: list[Column], name: str = "position") -> DataFrame:

@@ -10,7 +10,7 @@ from faremeld.operators.dedupe import best_quotes, keep_cheapest, keep_last
 from faremeld.operators.fx import apply_rate
 from faremeld.operators.history import price_changes
 from faremeld.operators.merge import merge_run, rows_after_run
-from faremeld.operators.ordering import output_keys, previous_in_order, with_position
+from faremeld.operators.ordering import numeric_key, output_keys, previous_in_order, text_key, with_position
 from faremeld.operators.quality import run_report, run_totals
 from faremeld.plans.table_queries.feeds import FEED_SQL, RATE, merged_sql, others_text, quote_feed, table
 from faremeld.plans.table_queries.registry import query
@@ -87,8 +87,7 @@ def _numeric_sort(spark, sf_dir, ascending: bool) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice").cast("decimal(18,2)")).alias("v")
     )
-    key = F.col("v").asc_nulls_last() if ascending else F.col("v").desc_nulls_last()
-    return with_position(rows, [key, F.col("o_orderkey")]).select("o_orderkey", "position")
+    return with_position(rows, [numeric_key(F.col("v"), ascending), F.col("o_orderkey")]).select("o_orderkey", "position")
 
 
 @query("column_sort_ascending", _numeric_sort_sql("ASC"))
@@ -101,6 +100,29 @@ def column_sort_descending(spark, sf_dir):
     return _numeric_sort(spark, sf_dir, False)
 
 
+def _text_sort_sql(letters: str, case: str) -> str:
+    return f"""
+SELECT p_partkey, row_number() OVER (ORDER BY lower(t) {letters}, t {case}, p_partkey) AS position
+FROM (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN upper(p_name) WHEN 1 THEN '' ELSE p_name END AS t FROM part)"""
+
+
+def _text_sort(spark, sf_dir, ascending: bool) -> DataFrame:
+    """Names of which some are in capitals, which come after their small letters, and some are missing."""
+    name = F.when(F.col("p_partkey") % 5 == 0, F.upper("p_name")).when(F.col("p_partkey") % 5 != 1, F.col("p_name"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", name.alias("t"))
+    return with_position(rows, [text_key(F.col("t"), ascending), F.col("p_partkey")]).select("p_partkey", "position")
+
+
+@query("column_sort_text_ascending", _text_sort_sql("ASC", "DESC"))
+def column_sort_text_ascending(spark, sf_dir):
+    return _text_sort(spark, sf_dir, True)
+
+
+@query("column_sort_text_descending", _text_sort_sql("DESC", "ASC"))
+def column_sort_text_descending(spark, sf_dir):
+    return _text_sort(spark, sf_dir, False)
+
+
 def _source_ships(spark, sf_dir) -> DataFrame:
     return quote_feed(spark, sf_dir).select(
         "source", F.lower("ship_name").alias("ship"), "sail_date", "price", "currency", "row_ord"
@@ -139,6 +161,9 @@ def within_source_last(spark, sf_dir):
     return _within(keep_last(_source_ships(spark, sf_dir), ["source", "ship", "sail_date"]))
 
 
+WITHOUT_RATE_SQL = FEED_SQL.replace("WHEN 'USD' THEN round_even(price * CAST(31.966724 AS DECIMAL(18,6)), 0)", "")
+STALE_SINCE_SQL = "CASE WHEN row_ord[1] % 2 = 1 THEN DATE '1990-02-03' ELSE scraped_day END AS stale_since"
+
 # The run of the feed: two sources succeed, two fail, src2 is not attempted.
 OUTCOMES = [
     (0, "src0", True, None, 1.234),
@@ -181,7 +206,11 @@ SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, CAST(nights AS BIGINT) A
 )
 def incremental_merge(spark, sf_dir):
     current, previous, status = _run_inputs(spark, sf_dir)
-    return merge_run(current, previous, status, F.lit(RATE)).select(
+    return _merged(merge_run(current, previous, status, F.lit(RATE)))
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "k_ship",
         F.col("sail_date").cast("string").alias("sail_date"),
         F.col("nights").cast("bigint").alias("nights"),
@@ -193,6 +222,47 @@ def incremental_merge(spark, sf_dir):
     )
 
 
+_MERGED_SQL = """
+SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, CAST(nights AS BIGINT) AS nights, k_port, source, CAST(stale_since AS VARCHAR) AS stale_since,
+       CAST(price_twd AS VARCHAR) AS price_twd, {others} AS others FROM best"""
+
+#: What an old row carries: one rival, whose TWD value is out of date.
+_CARRIED_SQL = """CASE WHEN others = '' AND stale_since IS NOT NULL THEN
+         'old:' || row_ord[1] || ':' || currency || ':' || coalesce(CAST(CAST(CASE currency WHEN 'TWD' THEN row_ord[1]
+           WHEN 'USD' THEN round_even(row_ord[1] * CAST(31.966724 AS DECIMAL(18,6)), 0) END AS DECIMAL(38,0)) AS VARCHAR), '-')
+       ELSE others END"""
+
+
+@query("merge_carried_maps", f"WITH {FEED_SQL}, {_RUN_SQL}, {merged_sql('after_run')}" + _MERGED_SQL.format(others=_CARRIED_SQL))
+def merge_carried_maps(spark, sf_dir):
+    """Old rows carry a rival each: kept at today's rate without a loser, replaced with one."""
+    current, previous, status = _run_inputs(spark, sf_dir)
+    entry = F.struct(F.col("row_ord")[0].cast("string").alias("price"), "currency", F.lit("1").alias("price_twd"))
+    previous = previous.withColumn("other_sources", F.create_map(F.lit("old"), entry))
+    return _merged(merge_run(current, previous, status, F.lit(RATE)))
+
+
+@query(
+    "merge_without_rate",
+    f"WITH {WITHOUT_RATE_SQL}, {_RUN_SQL}, {merged_sql('after_run')}" + _MERGED_SQL.format(others="others"),
+)
+def merge_without_rate(spark, sf_dir):
+    """No rate at all: raw numbers are compared, and USD quotes have no TWD value."""
+    return _merged(merge_run(*_run_inputs(spark, sf_dir), F.lit(None).cast("string")))
+
+
+@query(
+    "merge_already_stale",
+    f"WITH {FEED_SQL}, {_RUN_SQL.replace('scraped_day AS stale_since', STALE_SINCE_SQL)}, {merged_sql('after_run')}"
+    + _MERGED_SQL.format(others="others"),
+)
+def merge_already_stale(spark, sf_dir):
+    """Half of the old rows were stale before, and keep their date."""
+    current, previous, status = _run_inputs(spark, sf_dir)
+    before = F.when(F.col("row_ord")[0] % 2 == 1, F.lit("1990-02-03").cast("date"))
+    return _merged(merge_run(current, previous.withColumn("stale_since", before), status, F.lit(RATE)))
+
+
 @query(
     "rows_after_run",
     f"WITH {FEED_SQL}, {_RUN_SQL}"

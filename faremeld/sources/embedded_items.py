@@ -114,8 +114,8 @@ def to_rows(items: DataFrame) -> DataFrame:
         F.bround(price, 0).alias("price"),
         F.lit("TWD").alias("currency"),
         F.lit(fv.ASIAYO_NOTE).alias("price_note"),
-        F.concat(
-            F.lit(fv.ASIAYO_URL_HEAD), "item.id", F.lit(fv.ASIAYO_URL_MID), F.date_format("sail_date", "yyyy-MM-dd")
+        F.replace(
+            F.replace(F.lit(fv.ASIAYO_URL), F.lit("{date}"), F.date_format("sail_date", "yyyy-MM-dd")), F.lit("{id}"), "item.id"
         ).alias("detail_url"),
         "scraped_at",
         "ship_name_raw",

@@ -113,7 +113,7 @@ def to_rows(joined: DataFrame, start, end) -> DataFrame:
         "price",
         F.lit("TWD").alias("currency"),
         F.lit(fv.BWT_NOTE).alias("price_note"),
-        F.when(F.col("_code") != "", F.concat(F.lit(fv.BWT_URL_HEAD), "_code")).otherwise("").alias("detail_url"),
+        F.when(F.col("_code") != "", F.replace(F.lit(fv.BWT_URL), F.lit("{code}"), "_code")).otherwise("").alias("detail_url"),
         "scraped_at",
         "ship_name_raw",
         F.array(*[F.col(c).cast("bigint") for c in ("stream_id", "detail_no", "group_no")]).alias("row_ord"),

@@ -89,7 +89,7 @@ def to_rows(items: DataFrame, ports: DataFrame, ships: DataFrame, lines: DataFra
     packages = packages.withColumn("sail_date", parse_date(F.col("package.startDateTime")))
     packages = packages.where(in_window(F.col("sail_date"), F.lit(start), F.lit(end)))
     package_id = F.coalesce("package.id", F.lit(""))
-    url = F.concat(F.lit(fv.EXPEDIA_URL_HEAD), package_id, F.lit(fv.EXPEDIA_URL_TAIL))
+    url = F.replace(F.lit(fv.EXPEDIA_URL), F.lit("{id}"), package_id)
     return packages.select(
         F.lit(NAME).alias("source"),
         "sail_date",
