@@ -39,7 +39,7 @@ def others(row):
 def test_fresh_rows_replace_old_ones_and_sold_out_ones_vanish(spark):
     previous = [quote(stale_since=date(2026, 8, 1)), quote(ship_name="Costa Fortuna")]
     got = merge(spark, previous, [("icruise", [quote()])])
-    assert [(r.ship_name, r.stale_since) for r in got] == [("Costa Serena", None)]
+    assert [(r.ship_name, r.stale_since) for r in got] == [("Carnival Luminosa", None)]
 
 
 def test_failed_and_unattempted_sources_keep_stale_rows(spark):
@@ -54,7 +54,7 @@ def test_failed_and_unattempted_sources_keep_stale_rows(spark):
         "A": date(2026, 8, 10),
         "B": date(2026, 8, 10),
         "C": date(2026, 8, 2),
-        "Costa Serena": None,
+        "Carnival Luminosa": None,
     }
 
 
@@ -196,13 +196,13 @@ def test_random_runs_agree_with_the_model(spark):
 
 
 def test_key_ignores_case_spacing_and_line(spark):
-    rows = [quote(), quote(ship_name="  COSTA   SERENA ", cruise_line="x", source="y", price="1")]
+    rows = [quote(), quote(ship_name="  CARNIVAL   LUMINOSA ", cruise_line="x", source="y", price="1")]
     keys = with_match_key(quotes_df(spark, rows)).select("k_ship", "k_port").distinct().collect()
-    assert [tuple(k) for k in keys] == [("costa serena", "keelung")]
+    assert [tuple(k) for k in keys] == [("carnival luminosa", "keelung")]
 
 
 def test_within_source_rules(spark):
-    df = with_match_key(quotes_df(spark, [quote(price=None), quote(price="30"), quote(price="24"), quote(price="24", nights=3)]))
+    df = with_match_key(quotes_df(spark, [quote(price=None), quote(price="30"), quote(price="24"), quote(price="24")]))
     key = ["k_ship", "sail_date", "nights", "k_port"]
     row = keep_cheapest(df, key).first()
     assert (row.price, row.row_ord) == (24, [0])
@@ -225,7 +225,7 @@ def test_output_order(spark):
             )
         ],
     )
-    assert [r.ship_name for r in got] == ["A", "B", "C", "Costa Serena"]
+    assert [r.ship_name for r in got] == ["A", "B", "C", "Carnival Luminosa"]
 
 
 def test_column_sorts(spark):

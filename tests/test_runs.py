@@ -70,16 +70,16 @@ def test_run_publish_and_fail_over(spark, tmp_path):
     assert not first.all_failed and "愛達魔都號" in first.warnings[0]
     document = json.loads(text_of(f"{out}/data/deals.json"))
     assert document["count"] == 3 and document["fx"]["usd_twd"] == "32" and document["fx"]["stale"] is False
-    assert [d["price_twd"] for d in document["deals"]] == ["3216", "15328", None]
+    assert [d["price_twd"] for d in document["deals"]] == ["3216", "19584", None]
     assert document["run_report"]["sources"][0] == {**document["run_report"]["sources"][0], "source": "icruise", "ok": True, "count": 3, "error": None}
     assert document["run_report"]["sources"][1]["count"] == 0 and document["run_report"]["warnings"] == first.warnings
-    assert document["deals"][1]["scraped_at"] == "2026-08-13T05:00:00+00:00" and document["deals"][1]["other_sources"] == {}
+    assert document["deals"][1]["scraped_at"] == "2026-08-13T19:45:00+00:00" and document["deals"][1]["other_sources"] == {}
 
     # The published document is readable as the previous side.
     single = tmp_path / "deals.json"
     single.write_text(json.dumps(document), encoding="utf-8")
     back = read_previous(spark, str(single)).orderBy("row_ord").collect()
-    assert [(r.ship_name, r.price) for r in back] == [("Costa Serena", Decimal("100.5")), ("Costa Serena", 479), ("愛達魔都號", None)]
+    assert [(r.ship_name, r.price) for r in back] == [("Carnival Luminosa", Decimal("100.5")), ("Carnival Luminosa", 612), ("愛達魔都號", None)]
     assert read_previous_rate(spark, str(single)).first().usd_twd == 32
 
     table = list(csv.reader(io.StringIO(text_of(f"{out}/data/deals.csv"))))
@@ -90,7 +90,7 @@ def test_run_publish_and_fail_over(spark, tmp_path):
     second = run(spark, raw, out, start=date(2026, 8, 14), selected=["icruise"], registry=registry(icruise="Cloudflare"))
     got = second.quotes.collect()
     assert second.all_failed and len(got) == 3 and {r.stale_since for r in got} == {date(2026, 8, 13)}
-    assert second.rate.first().stale and {r.price_twd for r in got} == {None, 3216, 15328}
+    assert second.rate.first().stale and {r.price_twd for r in got} == {None, 3216, 19584}
     days = [r[0] for r in spark.read.parquet(f"{out}/data/history").select("snapshot_date").distinct().orderBy(F.col("snapshot_date")).collect()]
     assert days == [date(2026, 8, 13), date(2026, 8, 14)]
 
@@ -205,10 +205,10 @@ def test_stream_of_runs(spark, tmp_path):
     land([quote(price="400")], {"icruise": True, "expedia": False})
     runs = spark.read.parquet(out).orderBy("run_id", "ship_name").collect()
     assert [(r.run_id, r.ship_name, r.price, r.stale_since is not None) for r in runs] == [
-        (0, "B", 479, False),
-        (0, "Costa Serena", 479, False),
-        (1, "B", 479, True),
-        (1, "Costa Serena", 400, False),
+        (0, "B", 612, False),
+        (0, "Carnival Luminosa", 612, False),
+        (1, "B", 612, True),
+        (1, "Carnival Luminosa", 400, False),
     ]
 
 
@@ -228,22 +228,22 @@ def test_serving_views(spark):
     assert tuple(serving.summary_stats(df).first()) == (3, 18000, 2, "NT$18,000")
     assert serving.summary_stats(df.where("price_twd IS NULL")).first().lowest_text == "—"
     assert [tuple(r) for r in serving.facets(df).collect()] == [
-        ("line", "Costa Cruises"),
+        ("line", "Carnival Cruise Line"),
         ("line", "Princess Cruises"),
         ("port", "Keelung"),
         ("port", "Yokohama"),
     ]
     names = lambda **k: sorted(r.ship_name for r in serving.search(df, **k).collect())
     assert names(text=" DIAMOND ") == ["Diamond Princess"] and names(text="探索") == ["Star Voyager"]
-    assert len(names(text="ishigaki")) == 3 and names(text="zzz") == [] and len(names()) == 3
-    assert names(port="Keelung", line="Costa Cruises") == ["Costa Serena"]
+    assert len(names(text="nagasaki")) == 3 and names(text="zzz") == [] and len(names()) == 3
+    assert names(port="Keelung", line="Carnival Cruise Line") == ["Carnival Luminosa"]
     shown = serving.display_columns(df).collect()
     assert [(r.price_main, r.price_sort, r.price_original) for r in shown] == [
         ("NT$89,984", "89984", "US$2,812"),
         ("洽詢報價", "", ""),
         ("NT$18,000", "18000", ""),
     ]
-    assert shown[0].note == "per person, double occupancy（1 USD = 32 TWD）"
+    assert shown[0].note == "per guest, taxes extra（1 USD = 32 TWD）"
 
 
 def test_document_without_rate_or_rows(spark, tmp_path):
