@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from faremeld.functions.names import with_match_key
@@ -12,9 +14,12 @@ from faremeld.operators.history import price_changes
 from faremeld.operators.merge import merge_run, rows_after_run
 from faremeld.operators.ordering import numeric_key, output_keys, previous_in_order, text_key, with_position
 from faremeld.operators.quality import run_report, run_totals
+from faremeld.plans.publish import envelope_head, write_json
 from faremeld.plans.table_queries.feeds import FEED_SQL, RATE, merged_sql, others_text, quote_feed, table
 from faremeld.plans.table_queries.registry import query
-from faremeld.schemas import RUN_STATUS
+from faremeld.schemas import FX, RUN_STATUS
+from faremeld.session import ensure_checkpoint_dir
+from faremeld.sources.published import read_previous, read_previous_rate
 from faremeld.sources.registry import select_sources
 
 
@@ -77,6 +82,30 @@ def output_order(spark, sf_dir):
     )
 
 
+@query(
+    "document_round_trip",
+    MERGED_FEED_SQL
+    + """
+SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, CAST(nights AS BIGINT) AS nights, k_port, source, NULL::VARCHAR AS stale_since,
+       CAST(price_twd AS VARCHAR) AS price_twd, others, '31.966724' AS usd_twd, '2026-08-12' AS as_of FROM best""",
+)
+def document_round_trip(spark, sf_dir):
+    """The merged feed and its rate, published as a document in parts and read back from it."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/document-{uuid.uuid4().hex}"
+    merged_feed(spark, sf_dir).write.parquet(f"{folder}/merged")
+    merged = spark.read.parquet(f"{folder}/merged")
+    rate = F.struct(F.lit(RATE).alias("usd_twd"), F.lit("2026-08-12").alias("as_of"), F.lit("feed").alias("source"), F.lit(False).alias("stale")).cast(FX)
+    report = run_report(spark.createDataFrame(OUTCOMES, RUN_STATUS), merged)
+    at = F.to_timestamp(F.lit("2026-08-13 00:00:00"))
+    head = envelope_head(report, rate, F.array(F.lit("one warning")), at, F.lit(merged.count()))
+    write_json(merged, head, f"{folder}/deals")
+
+    back = with_match_key(read_previous(spark, f"{folder}/deals"))
+    published = read_previous_rate(spark, f"{folder}/deals").select(plain_number(F.col("usd_twd")).alias("usd_twd"), F.col("as_of").cast("string"))
+    return _merged(back).withColumns({c: published.select(c).scalar() for c in ("usd_twd", "as_of")})
+
+
 def _numeric_sort_sql(direction: str) -> str:
     return f"""
 SELECT o_orderkey, row_number() OVER (ORDER BY v {direction} NULLS LAST, o_orderkey) AS position
