@@ -169,41 +169,98 @@ def exact_links(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     return settle(sure.union(close.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(check, "a long, b long")))
 
 
-def block_counts(open_nodes: DataFrame) -> DataFrame:
-    """(id, n): for (component, id, unit, copies) the copies of all others linked to each, block against block."""
-    sizes = open_nodes.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")
-    dealt = open_nodes.join(sizes, "component").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+def blocks(open_nodes: DataFrame) -> DataFrame:
+    """(component, id, unit, copies, block): blocks of about BLOCK rows, each of one component."""
+    sizes = open_nodes.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    own = F.xxhash64("component", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    return settle(open_nodes.join(sizes, "component").select("component", "id", "unit", "copies", own.alias("block")))
+
+
+def touching(dealt: DataFrame) -> DataFrame:
+    """(x, y): the pairs of blocks that may hold a link, each once, a block with itself too.
+
+    A block lies in a ball of angles around its mean. By the triangle inequality
+    no vectors of two balls are linked if their centres' angle exceeds both
+    radii and the angle of the similarity.
+    """
+
+    def ball(part: pd.DataFrame) -> pd.DataFrame:
+        x = np.frombuffer(b"".join(part["unit"]), np.float64).reshape(len(part), -1)
+        centre = x.mean(axis=0)
+        length = np.linalg.norm(centre)
+        centre = centre / length if length > 1e-6 else x[0]
+        radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+        return pd.DataFrame({"block": part["block"].iloc[:1], "dims": x.shape[1], "centre": [centre.tobytes()], "radius": radius})
+
+    balls = settle(dealt.groupBy("block").applyInPandas(ball, "block long, dims int, centre binary, radius double"))
+    parts = max(1, -(-balls.count() // BLOCK))
+    own = F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")
+    keyed = balls.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        left = part[part["own"] == part["low"].iloc[0]]
-        right = part[part["own"] == part["high"].iloc[0]]
-        x, y = (np.frombuffer(b"".join(p["unit"]), np.float64).reshape(len(p), -1) for p in (left, right))
+        low, high = part["low"].iloc[0], part["high"].iloc[0]
+        left, right = part[part["own"] == low], part[part["own"] == high]
         if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "n": []}).astype("int64")
+            return pd.DataFrame({"x": [], "y": []}).astype("int64")
+        x, y = (np.frombuffer(b"".join(p["centre"]), np.float64).reshape(len(p), -1) for p in (left, right))
+        apart = np.arccos(np.clip(x @ y.T, -1, 1)) - left["radius"].to_numpy()[:, None] - right["radius"].to_numpy()[None, :]
+        near = apart <= np.arccos(SIMILARITY) + 1e-6
+        i, j = np.nonzero(np.triu(near) if low == high else near)
+        return pd.DataFrame({"x": left["block"].to_numpy()[i], "y": right["block"].to_numpy()[j]})
+
+    return settle(keyed.groupBy("dims", "low", "high").applyInPandas(run, "x long, y long"))
+
+
+def block_links(open_nodes: DataFrame) -> DataFrame:
+    """(id, n, other) for (component, id, unit, copies): summed by id, n is the copies of all others linked to it.
+
+    Blocks are compared within and across components. Of two components' blocks
+    with a link, one row names a link (id, other) and counts nothing.
+    """
+    dealt = blocks(open_nodes)
+    pairs = touching(dealt).withColumn("block", F.explode(F.array_distinct(F.array("x", "y"))))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        low, high = part["x"].iloc[0], part["y"].iloc[0]
+        left, right = part[part["block"] == low], part[part["block"] == high]
+        x, y = (np.frombuffer(b"".join(p["unit"]), np.float64).reshape(len(p), -1) for p in (left, right))
         linked = x @ y.T >= SIMILARITY
-        if part["low"].iloc[0] == part["high"].iloc[0]:
+        if low == high:
             np.fill_diagonal(linked, False)
-            return pd.DataFrame({"id": left["id"], "n": linked @ right["copies"].to_numpy()})
-        return pd.DataFrame({"id": np.r_[left["id"], right["id"]], "n": np.r_[linked @ right["copies"].to_numpy(), linked.T @ left["copies"].to_numpy()]})
+            return pd.DataFrame({"id": left["id"], "n": linked @ right["copies"].to_numpy(), "other": pd.array([None] * len(left), "Int64")})
+        ids, n = np.r_[left["id"], right["id"]], np.r_[linked @ right["copies"].to_numpy(), linked.T @ left["copies"].to_numpy()]
+        out = pd.DataFrame({"id": ids, "n": n, "other": pd.array([None] * len(ids), "Int64")})[n > 0]
+        if len(out) and left["component"].iloc[0] != right["component"].iloc[0]:
+            i, j = np.unravel_index(linked.argmax(), linked.shape)
+            out = pd.concat([out, pd.DataFrame({"id": left["id"].iloc[[i]], "n": 0, "other": pd.array([right["id"].iloc[j]], "Int64")})])
+        return out
 
-    return keyed.groupBy("component", "low", "high").applyInPandas(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return settle(pairs.join(dealt, "block").groupBy("x", "y").applyInPandas(run, "id long, n long, other long"))
 
 
-def counted(nodes: DataFrame, graph: DataFrame) -> DataFrame:
+def counted(nodes: DataFrame, graph: DataFrame, every: bool = False) -> DataFrame:
     """(id, n_links, component) of every node.
 
-    Links are those in the lists. Where a list is still full of links at its
-    greatest length, all of its component is compared block by block, and only
-    counts leave the blocks.
+    Links are those in the lists. A list that is still full of links at its
+    greatest length may miss some, to vectors of its own component or, if their
+    lists are full as well, of another. So all components with such a list (or
+    `every` one) are compared block by block, each with itself and with those
+    that it may touch, and only counts and one link a pair leave the blocks.
     """
     links = exact_links(graph, nodes)
     label = settle(components(links))
-    full = graph.where(F.col("sim") >= SIMILARITY).groupBy("v").agg(F.count("*").alias("n")).where(F.col("n") >= NEIGHBOURS * ENLARGE)
-    crowded = full.join(label, full["v"] == label["node"]).select("component").distinct()
-    open_label = settle(label.join(crowded, "component").select("component", F.col("node").alias("id")))
-    many = block_counts(open_label.join(nodes, "id").select("component", "id", "unit", "copies"))
+    if every:
+        open_label = nodes.select("id").join(label.withColumnRenamed("node", "id"), "id", "left").select(F.coalesce("component", "id").alias("component"), "id")
+    else:
+        full = graph.where(F.col("sim") >= SIMILARITY - MARGIN).groupBy("v").agg(F.count("*").alias("n")).where(F.col("n") >= NEIGHBOURS * ENLARGE)
+        crowded = full.join(label, full["v"] == label["node"]).select("component").distinct()
+        open_label = label.join(crowded, "component").select("component", F.col("node").alias("id"))
+    open_label = settle(open_label)
+    compared_rows = block_links(open_label.join(nodes, "id").select("component", "id", "unit", "copies"))
+    bridges = compared_rows.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b"))
+    if not bridges.isEmpty():
+        label = settle(components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).union(bridges)))
+    many = compared_rows.groupBy("id").agg(F.sum("n").alias("n"))
     both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).union(links.select("b", "a"))
     few = both.join(open_label.select("id"), "id", "left_anti").join(nodes.select(F.col("id").alias("other"), "copies"), "other").groupBy("id").agg(F.sum("copies").alias("n"))
     counts = nodes.select("id", "copies").join(many.union(few), "id", "left").join(label.withColumnRenamed("node", "id"), "id", "left")
@@ -239,8 +296,8 @@ def near_duplicate_vectors(embeddings: DataFrame) -> DataFrame:
     Vectors of one direction are one node with a number of copies. Vectors that
     are null, empty or zero, or hold null or non-finite components, and vectors
     of other lengths, link with nothing. `recall` is what the audit measured;
-    below RECALL the graph is seeded anew, RESEEDINGS times at most. An empty
-    table gives an empty one.
+    below RECALL the graph is seeded anew, RESEEDINGS times at most, and then
+    every vector is compared block by block. An empty table gives an empty one.
     """
     points = settle(unit_vectors(embeddings))
     nodes = settle(points.where("unit IS NOT NULL").groupBy("unit").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")))
@@ -252,6 +309,12 @@ def near_duplicate_vectors(embeddings: DataFrame) -> DataFrame:
         recall = audit(nodes, found)
         if recall >= RECALL:
             break
+    else:
+        if rows > 1:
+            found = counted(nodes, graph, every=True)
+            recall = audit(nodes, found)
+    if recall < RECALL:
+        raise RuntimeError(f"only {recall:.3f} of the audited vectors' links were found")
     member = points.join(nodes.select("unit", "id"), "unit", "left").select("vec_id", "id")
     out = member.join(found, "id", "left")
     component = F.coalesce("component", "vec_id")

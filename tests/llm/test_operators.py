@@ -71,6 +71,39 @@ def test_links_match_brute_force(spark):
     assert got[0]["recall"] >= 0.98
 
 
+def dense_groups(across):
+    """Groups of 60 unit vectors with cosine 0.97 inside a group and about `across` of e0's part between groups."""
+    x = np.zeros((60 * len(across), 1 + 61 * len(across)))
+    for g, part in enumerate(across):
+        for i in range(60 * g, 60 * g + 60):
+            x[i, 0], x[i, 1 + g], x[i, 1 + len(across) + i] = part**0.5, (0.97 - part) ** 0.5, 0.03**0.5
+    return x
+
+
+def test_full_lists_of_two_groups_hide_no_link_between_them(spark):
+    x = dense_groups([0.91, 0.85, 0.91])  # 0.91 between the first and the third; 0.88 to the second
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [got[i]["n_links"] for i in range(180)] == [119] * 60 + [59] * 60 + [119] * 60
+    assert [got[i]["component_id"] for i in range(180)] == [0] * 60 + [60] * 60 + [0] * 60
+    assert {i for i in got if got[i]["kept"]} == {0, 60}
+    assert got[0]["recall"] == 1.0
+
+
+def test_every_vector_is_compared_where_the_audit_stays_low(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "ROUNDS", 0)
+    monkeypatch.setattr(embedding_dedup, "TREES", 1)
+    monkeypatch.setattr(embedding_dedup, "RESEEDINGS", 0)
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((1200, 16))
+    x = np.concatenate([base, base + 0.1 * rng.standard_normal((1200, 16))])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicate_vectors(spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    assert [got[i]["n_links"] for i in range(len(x))] == linked.sum(1).tolist() and got[0]["recall"] == 1.0
+
+
 def test_no_vectors(spark):
     assert embedding_dedup.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
