@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,7 +23,7 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Characters on both sides of an entity whose whole words are its context.
+#: Characters on both sides of an entity whose whole words are its context, from which disclosure is estimated.
 CONTEXT = 60
 TERM = re.compile(r"[^\W\d_]{3,}")
 #: Part of an entity's information that a term may reveal, and the documents that must show it.
@@ -84,20 +86,39 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, SCANNED)
 
 
-def term_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, documents): in how many of all rows each of the terms occurs.
+class TermMap(dict):
+    """Whether a word may be a term, by the bits of the terms' hashes; remembered for a bounded number of words."""
 
-    The terms' hashes set bits of a map of fixed size. Words whose bit is set
-    are counted in each task, then summed; other words can't be terms.
-    """
+    def __init__(self, packed: np.ndarray) -> None:
+        self.packed = packed
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) > 400_000:
+            self.clear()
+        at = xxhash.xxh64_intdigest(word.encode(), 42) % MAP_BITS  # MAP_BITS divides 2^64: the sign doesn't matter
+        hit = self[word] = bool(int(self.packed[at >> 5]) >> (at & 31) & 1)
+        return hit
+
+
+def term_bits(terms: DataFrame) -> np.ndarray:
+    """A map of fixed size with the bits of the terms' hashes set; words whose bit is not set can't be terms."""
     bit = F.pmod(F.xxhash64("term"), F.lit(MAP_BITS))
     words = terms.select(bit.alias("bit")).select(F.expr("CAST(bit div 32 AS int)").alias("word"), F.expr("shiftleft(1L, CAST(bit % 32 AS int))").alias("bits"))
     packed = np.zeros(MAP_BITS // 32, np.uint32)
     for row in words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
         packed[row["word"]] = row["bits"]
+    return packed
+
+
+def term_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, documents): in how many of all rows each of the terms occurs.
+
+    Words of the terms' map are counted in each task, then summed.
+    """
+    packed = term_bits(terms)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, bool] = {}
+        known = TermMap(packed)
         counts: Counter[str] = Counter()
 
         def flushed() -> pd.DataFrame:
@@ -107,15 +128,7 @@ def term_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch["text"]:
-                found = set(TERM.findall((text or "").lower()))
-                for word in found:
-                    if (hit := known.get(word)) is None:
-                        if len(known) > 400_000:
-                            known.clear()
-                        at = xxhash.xxh64_intdigest(word.encode(), 42) % MAP_BITS  # MAP_BITS divides 2^64: the sign doesn't matter
-                        hit = known[word] = bool(int(packed[at >> 5]) >> (at & 31) & 1)
-                    if hit:
-                        counts[word] += 1
+                counts.update(word for word in {w.lower() for w in set(TERM.findall(text or ""))} if known[word])
                 if len(counts) > 200_000:
                     yield flushed()
         yield flushed()
@@ -124,6 +137,37 @@ def term_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counted.join(terms, "term", "left_semi")
 
 
+def occurrences(text: str, spans: list[tuple[int, int, int]], known: TermMap) -> list[tuple[str, int, int]]:
+    """(term, start, end) of every word of the whole text that may be a term and lies outside every span."""
+    out, starts, reach = [], [a for a, _, _ in spans], [0, *itertools.accumulate((b for *_, b in spans), max)]
+    for m in TERM.finditer(text):
+        if known[word := m[0].lower()] and reach[bisect_left(starts, m.end())] <= m.start():
+            out.append((word, m.start(), m.end()))
+    return out
+
+
+MARKED = "doc_id long, spans array<struct<start:long,kind:int,end:long>>, words array<struct<term:string,start:long,end:long>>"
+
+
+def marked(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, spans, words) of every row: the forms' spans and the words that may be one of the terms."""
+    packed = term_bits(terms)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = TermMap(packed)
+        for batch in batches:
+            rows = []
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                spans = base_spans(text or "")
+                words = occurrences(text or "", spans, known)
+                rows.append((doc_id, [dict(zip(("start", "kind", "end"), s)) for s in spans], [dict(zip(("term", "start", "end"), w)) for w in words]))
+            out = pd.DataFrame(rows, columns=["doc_id", "spans", "words"])
+            out["doc_id"] = out["doc_id"].astype("Int64")
+            yield out
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, MARKED)
+
+
 def disclosing(scanned: DataFrame, docs: DataFrame, rows: int, threshold: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """(entity, term, disclosure) of the pairs at or over the threshold.
 
@@ -144,15 +188,18 @@ def disclosing(scanned: DataFrame, docs: DataFrame, rows: int, threshold: float
 def find(docs: DataFrame, threshold: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """(doc_id, spans) of every row: the forms' spans and those of disclosing terms, by (start, kind, end).
 
-    Positions are code points of the whole text, ends exclusive; null text is
-    taken as empty. Repeated rows are rows of their own, in the counts as well.
+    A term that discloses an entity is marked wherever it occurs outside the
+    forms' spans, in every row, near the entity or not. Positions are code
+    points of the whole text, ends exclusive; null text is taken as empty.
+    Repeated rows are rows of their own, in the counts as well.
     """
     scanned = settle(scan(docs).withColumn("uid", F.monotonically_increasing_id()))
-    told = disclosing(scanned, docs, scanned.count(), threshold, support)
-    near = scanned.select("uid", F.explode("mentions").alias("m")).select("uid", "m.*")
-    hits = near.join(told, ["entity", "term"]).select("uid", F.struct("start", F.lit(4).alias("kind"), "end").alias("span")).distinct()
-    terms = hits.groupBy("uid").agg(F.collect_list("span").alias("terms"))
-    joined = scanned.join(terms, "uid", "left")
+    terms = settle(disclosing(scanned, docs, scanned.count(), threshold, support).select("term").distinct())
+    found = settle(marked(docs, terms).withColumn("uid", F.monotonically_increasing_id()))
+    words = found.select("uid", F.explode("words").alias("w")).select("uid", "w.*")
+    hits = words.join(terms, "term", "left_semi").select("uid", F.struct("start", F.lit(4).alias("kind"), "end").alias("span"))
+    told = hits.groupBy("uid").agg(F.collect_list("span").alias("terms"))
+    joined = found.select("uid", "doc_id", "spans").join(told, "uid", "left")
     return joined.select("doc_id", F.array_sort(F.concat("spans", F.coalesce("terms", F.array().cast("array<struct<start:long,kind:int,end:long>>")))).alias("spans"))
 
 

@@ -2,8 +2,10 @@
 
 import itertools
 import random
+import re
 import struct
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -170,6 +172,40 @@ def test_terms_that_reveal(spark, edge, nothing):
     assert pii.find(edge).count() == edge.count() and pii.find(nothing).count() == 0
 
 
+def plain_spans(rows, support):
+    """The spans of op4 by counts over all texts, as its docstrings state them."""
+    texts = [t or "" for _, t in rows]
+    forms = [pii.base_spans(t) for t in texts]
+    found = [[(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", t)] for t in texts]
+    found = [[w for w in ws if not any(a < w[2] and w[1] < b for a, _, b in sp)] for ws, sp in zip(found, forms)]
+    entities, pairs, documents = Counter(), Counter(), Counter()
+    for t, sp, ws in zip(texts, forms, found):
+        near = {((k, t[a:b].lower()), w[0]) for a, k, b in sp for w in ws if a - 60 <= w[1] and w[2] <= b + 60}
+        pairs.update(near)
+        entities.update({e for e, _ in near})
+        documents.update({w.lower() for w in re.findall(r"[^\W\d_]{3,}", t)})
+    n = len(texts)
+    told = {w for (e, w), c in pairs.items() if c >= support and n > entities[e] and np.log2(c * n / (documents[w] * entities[e])) / np.log2(n / entities[e]) >= 0.75}
+    return sorted(((i, sorted([*sp, *((a, 4, b) for w, a, b in ws if w in told)])) for (i, _), sp, ws in zip(rows, forms, found)), key=str)
+
+
+def told_rows():
+    rng = random.Random(4)
+    rows = [(i, f"the quick Zorblax wrote to boss@corp.com from the office {words(rng, 5)}") for i in range(4)]
+    rows += [(10 + i, f"the quick brown office from {words(rng, 30)}") for i in range(60)] + [(99, None), (100, "")]
+    rows += [(70, f"boss@corp.com {words(rng, 20)} Zorblax, ZORBLAX"), (71, f"zorblax {words(rng, 5)}"), (71, "twice zorblax"), (72, "mail zorblax@corp.com")]
+    return [*rows, (80, f"the quick Quibblor has solo@only.net from the office {words(rng, 30)} Quibblor"), (81, "quibblor brown")]
+
+
+def test_terms_that_reveal_go_everywhere(spark):
+    rows = told_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], [tuple(s) for s in r["spans"]]) for r in pii.find(docs, support=2).collect()), key=str)
+    assert got == plain_spans(rows, 2)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs.where("doc_id <> 71 OR text LIKE 'zor%'"), support=2).collect()}
+    assert all("zorblax" not in clean[i].lower() for i in (0, 70, 71)) and clean[72] == "mail [EMAIL]"
+
+
 # ---- 5
 
 
