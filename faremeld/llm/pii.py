@@ -26,8 +26,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Characters on both sides of an entity whose whole words are its context, from which disclosure is estimated.
 CONTEXT = 60
 TERM = re.compile(r"[^\W\d_]{3,}")
-#: Part of an entity's information that a term may reveal, and the documents that must show it.
-DISCLOSURE, SUPPORT = 0.75, 2
+#: Part of an entity's information that a term may reveal, and the documents that must show it:
+#: one is enough, since most entities have no more and a word of that one document reveals all of them.
+DISCLOSURE, SUPPORT = 0.75, 1
 #: Bits of the fixed map that tells which words are terms; words outside it are not counted.
 MAP_BITS = 1 << 22
 GENERAL = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}

@@ -206,6 +206,16 @@ def test_terms_that_reveal_go_everywhere(spark):
     assert all("zorblax" not in clean[i].lower() for i in (0, 70, 71)) and clean[72] == "mail [EMAIL]"
 
 
+def test_an_entity_of_one_document_has_disclosing_terms(spark):
+    rows = told_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], [tuple(s) for s in r["spans"]]) for r in pii.find(docs).collect()), key=str)
+    assert got == plain_spans(rows, 1)
+    spans = dict(got)
+    told = [rows[-2][1][a:b] for a, k, b in spans[80] if k == 4]
+    assert told.count("Quibblor") == 2 and "the" not in told and "from" not in told and (0, 4, 8) in spans[81]
+
+
 # ---- 5
 
 
