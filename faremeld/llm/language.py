@@ -42,7 +42,7 @@ def ngram_counts(text: str | None, dimensions: int, orders: tuple[int, ...]) ->
     points = letters_only(text or "")
     if not len(points):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    total = np.zeros(dimensions, np.int64)
+    hashed = []
     for n in orders:
         if len(points) < n:
             continue
@@ -50,7 +50,11 @@ def ngram_counts(text: str | None, dimensions: int, orders: tuple[int, ...]) ->
         for i in range(n):
             key = key * np.uint64(0x9E3779B97F4A7C15) + points[i : len(points) - n + 1 + i].astype(np.uint64)
         key ^= key >> np.uint64(29)
-        total += np.bincount(((key * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(20)).astype(np.int64) % dimensions, minlength=dimensions)
+        hashed.append(((key * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(20)).astype(np.int64) % dimensions)
+    hashed = np.concatenate(hashed)
+    if len(hashed) < dimensions // 8:
+        return np.unique(hashed, return_counts=True)
+    total = np.bincount(hashed, minlength=dimensions)
     found = np.flatnonzero(total)
     return found, total[found]
 
@@ -146,11 +150,8 @@ def document_frequencies(docs: DataFrame, dimensions: int, orders: tuple[int, ..
 
 def sample_features(labelled: DataFrame, per_class: int, dimensions: int, orders: tuple[int, ...]) -> DataFrame:
     """Features of at most `per_class` labelled rows of each language, those of the least hashes."""
+    at = (F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("at")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id"))
-    # one number for each language, of which the model holds a whole column of weights
-    sizes = labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(2.0 * per_class + 200) / F.count("*"))).collect()
-    share = F.create_map(*[F.lit(x) for row in sizes for x in row])[F.col("lang")] if sizes else F.lit(0.0)
-    at = (F.pmod(F.xxhash64(F.col("doc_id"), F.col("lang")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("at")
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -160,9 +161,9 @@ def sample_features(labelled: DataFrame, per_class: int, dimensions: int, orders
             out["counts"] = [c.astype(np.int32).tobytes() for _, c in made]
             yield out[[len(f) > 0 for f, _ in made]]
 
-    near = labelled.select("doc_id", "lang", "text", at).where(F.col("at") <= share)
-    made = near.mapInPandas(featurise, "doc_id long, lang string, at double, found binary, counts binary")
-    return made.withColumn("rank", rank).where(F.col("rank") <= per_class)
+    # The rank limit cuts each task's rows before the shuffle; rows with equal hashes fill the sample like any others.
+    near = labelled.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text", at).withColumn("rank", rank).where(F.col("rank") <= per_class)
+    return near.mapInPandas(featurise, "doc_id long, lang string, at double, found binary, counts binary")
 
 
 def fit(labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS, dimensions: int = DIMENSIONS, orders: tuple[int, ...] = ORDERS) -> Model:

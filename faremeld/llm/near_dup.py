@@ -15,9 +15,8 @@ from faremeld.llm.common import chunks, components, discard, settle, table
 #: Words of a shingle, least similarity, registers of a signature and registers of a band.
 #: A pair at the least similarity shares one of the 24 bands with probability 0.9993.
 SHINGLE, SIMILARITY, REGISTERS, BAND = 5, 0.8, 144, 6
-#: Documents of a block, where a group is compared block by block, and how far an estimate
-#: may be below the similarity for a pair to be verified there (three standard deviations).
-BLOCK, SLACK = 256, 0.1
+#: Documents of a block, where a group is compared block by block.
+BLOCK = 256
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -101,21 +100,29 @@ def damped(count: np.ndarray) -> np.ndarray:
     return 1 + np.log(count)
 
 
-def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
-    """Of two weighted sets with sorted keys: the sum over common x of 1 / sum_y max(p_y/p_x, q_y/q_x)."""
+def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray, least: float = 0.0) -> float:
+    """Of two weighted sets with sorted keys: the sum over common x of 1 / sum_y max(p_y/p_x, q_y/q_x).
+
+    0 where it is certainly below `least`.
+    """
     if not len(a) or not len(b):
         return 0.0
-    both, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if not len(both):
-        return 0.0
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    ia = np.flatnonzero(b[at] == a)
+    ib = at[ia]
     p, q = wa / wa.sum(), wb / wb.sum()
     pc, qc = p[ia], q[ib]
+    # the similarity is at most the smaller shares' sum
+    if np.minimum(pc, qc).sum() < least:
+        return 0.0
     # y only in one set: its share over x's; y in both: the larger of the two ratios, by sorting p_y/q_y
     ratio = pc / qc
     order = np.argsort(ratio, kind="stable")
     ps, qs = pc[order], qc[order]
     above = np.r_[np.cumsum(ps[::-1])[::-1][1:], 0.0]  # p_y/q_y beyond x's: p_y/p_x is the larger
     below = np.cumsum(qs)
+    if not len(ia):
+        return 0.0
     only_a, only_b = max(0.0, 1 - pc.sum()), max(0.0, 1 - qc.sum())
     return float((1 / ((above + only_a) / ps + (below + only_b) / qs)).sum())
 
@@ -139,28 +146,40 @@ def features(docs: DataFrame) -> DataFrame:
                 for i in range(n):
                     if edge[i] < edge[i + 1]:
                         own = slice(edge[i], edge[i + 1])
-                        content = xxhash.xxh3_128_digest(key[own].tobytes() + count[own].tobytes())
+                        content = content_of(key[own], count[own])
                         rows.append((ids[part.start + i], content, band[i].view(np.int64)))
                 yield pd.DataFrame(rows, columns=["doc_id", "content", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").where("text is not null and doc_id is not null").mapInPandas(run, "doc_id long, content binary, bands array<long>")
 
 
-def weighted_sets(docs: DataFrame) -> DataFrame:
-    """(node, weighted, sketch): sorted shingle hashes and counts of each document, and 32 bits of each register."""
+def content_of(key: np.ndarray, count: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(key.tobytes() + count.tobytes())
+
+
+def weighted_sets(texts: DataFrame) -> DataFrame:
+    """(node, weighted, sketch, bands) of (node, content, text, bands) rows whose text has that content.
+
+    Sorted shingle hashes and counts, and 32 bits of each register.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         for batch in batches:
-            ids, texts = batch["doc_id"].to_numpy(np.int64), [t or "" for t in batch["text"]]
+            nodes, texts = batch["node"].to_numpy(np.int64), [t or "" for t in batch["text"]]
+            contents, bands = batch["content"].tolist(), batch["bands"].tolist()
             for part in chunks(texts):
                 owner, key, count = shingles(texts[part], words)
                 edge = np.searchsorted(owner, np.arange(len(texts[part]) + 1))
-                made = [key[a:b].tobytes() + count[a:b].astype(np.int32).tobytes() for a, b in zip(edge[:-1], edge[1:])]
-                sketch = signatures(owner, key, damped(count), len(made)).astype(np.uint32)
-                yield pd.DataFrame({"node": ids[part], "weighted": made, "sketch": [x.tobytes() for x in sketch]})
+                sketch = signatures(owner, key, damped(count), len(edge) - 1).astype(np.uint32)
+                rows = []
+                for i, (a, b) in enumerate(zip(edge[:-1], edge[1:])):
+                    if bytes(contents[part.start + i]) == content_of(key[a:b], count[a:b]):
+                        weighted = key[a:b].tobytes() + count[a:b].astype(np.int32).tobytes()
+                        rows.append((nodes[part.start + i], weighted, sketch[i].tobytes(), np.asarray(bands[part.start + i], np.int64).tobytes()))
+                yield pd.DataFrame(rows, columns=["node", "weighted", "sketch", "bands"]).astype({"node": "int64", "weighted": object, "sketch": object, "bands": object})
 
-    return docs.mapInPandas(run, "node long, weighted binary, sketch binary")
+    return texts.select("node", "content", "text", "bands").mapInPandas(run, "node long, weighted binary, sketch binary, bands binary")
 
 
 def _opened(weighted: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +192,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.loc[[probability_jaccard(*_opened(x), *_opened(y)) >= similarity - 1e-12 for x, y in zip(batch["x"], batch["y"])], ["a", "b"]]
+            yield batch.loc[[probability_jaccard(*_opened(x), *_opened(y), similarity - 1e-12) >= similarity - 1e-12 for x, y in zip(batch["x"], batch["y"])], ["a", "b"]]
 
     x = sets.select(F.col("node").alias("a"), F.col("weighted").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("weighted").alias("y"))
@@ -190,7 +209,9 @@ def cross_links(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     Documents are dealt to blocks: a large component has blocks of its own,
     small ones share blocks. Blocks meet in pairs, but never two of one
     component, since what is joined needs no comparison. Of two components, a
-    task reports one link. Pairs whose registers agree too rarely are passed over.
+    task reports one link. Every pair that shares a band, or agrees in as many
+    registers as a pair at the similarity does on average, is verified unless
+    links found before join it, those of most agreement first.
     """
     sizes = nodes.groupBy("group", "component").agg(F.count("*").alias("n")).withColumn("large", F.col("n") > BLOCK // 2)
     small = sizes.where("NOT large").groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("long").alias("parts"))
@@ -199,13 +220,14 @@ def cross_links(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     dealt = settle(nodes.join(sizes, ["group", "component"]).join(small, "group", "left").select("group", "node", "component", "large", own.alias("own")))
     others = dealt.select("group", F.col("own").alias("other"), F.when(F.col("large"), F.col("component")).alias("alone")).distinct()
     met = dealt.join(others, "group").where("NOT large OR alone IS NULL OR alone <> component")
-    rows = met.join(sets, "node").select("group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "weighted", "sketch")
+    rows = met.join(sets, "node").select("group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "weighted", "sketch", "bands")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("node")
         low, high = part["low"].iloc[0], part["high"].iloc[0]
         left, right = part[part["own"] == low], part[part["own"] == high]
         x, y = (np.frombuffer(b"".join(p["sketch"]), np.uint32).reshape(len(p), -1) for p in (left, right))
+        bx, by = (np.frombuffer(b"".join(p["bands"]), np.int64).reshape(len(p), -1) for p in (left, right))
         cx, cy = left["component"].to_numpy(), right["component"].to_numpy()
         parent = {c: c for c in (*cx.tolist(), *cy.tolist())}
 
@@ -217,12 +239,12 @@ def cross_links(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFra
         tried, nx, ny = [], left["node"].to_numpy(), right["node"].to_numpy()
         for i in range(len(left)):
             agree = (y == x[i]).mean(axis=1)
-            near = np.flatnonzero((agree >= similarity - SLACK) & (cy != cx[i]))
+            near = np.flatnonzero(((by == bx[i]).any(axis=1) | (agree >= similarity)) & (cy != cx[i]))
             tried += [(-agree[j], i, int(j)) for j in near if low != high or j > i]
         out, wx, wy = [], left["weighted"].tolist(), right["weighted"].tolist()
         for _, i, j in sorted(tried):
             a, b = root(int(cx[i])), root(int(cy[j]))
-            if a != b and probability_jaccard(*_opened(wx[i]), *_opened(wy[j])) >= similarity - 1e-12:
+            if a != b and probability_jaccard(*_opened(wx[i]), *_opened(wy[j]), similarity - 1e-12) >= similarity - 1e-12:
                 parent[b] = a
                 out.append((min(nx[i], ny[j]), max(nx[i], ny[j])))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
@@ -247,19 +269,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     those that stay apart from it one with each of its members.
     """
     found = settle(features(docs))
-    classes = settle(found.groupBy("content").agg(F.min("doc_id").alias("class_id")).join(found.select("doc_id", "content").distinct(), "content").select("doc_id", "class_id").distinct())
-    several = classes.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a <> z")
-    links = classes.join(several, "doc_id").where("class_id <> a").select("a", F.col("class_id").alias("b")).distinct()
+    contents = settle(found.groupBy("content").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("class_id")).withColumn("node", F.monotonically_increasing_id()))
+    owned = settle(found.select("doc_id", "content").distinct().join(contents.select("content", "class_id", "node"), "content").select("doc_id", "class_id", "node"))
+    discard(found)
+    several = owned.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
+    links = owned.join(several, "doc_id").where("node <> a").select("a", F.col("node").alias("b")).distinct()
 
-    leaders = found.groupBy("content").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("node"))
-    banded = leaders.select("node", F.posexplode("bands").alias("band", "key"))
+    banded = contents.select("node", F.posexplode("bands").alias("band", "key"))
     bucket = banded.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
     members = settle(banded.join(bucket, ["band", "key"]).select(F.xxhash64("band", "key").alias("bucket"), "node", "leader"))
-    discard(found)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-    wanted = texts.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = settle(weighted_sets(wanted.groupBy("doc_id").agg(F.min("text").alias("text"))))
+    wanted = contents.join(members.select("node").distinct(), "node", "left_semi").withColumnRenamed("class_id", "doc_id")
+    sets = settle(weighted_sets(texts.join(wanted, "doc_id").dropDuplicates(["doc_id", "node", "text"])))
     tried = members.where("node <> leader").select(*_ordered(F.col("leader"), F.col("node"))).distinct()
     first = settle(links.union(verified(tried, sets, similarity)))
     label = settle(components(first))
@@ -271,9 +293,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     nodes = opened.select("node", "component").distinct().join(groups, "component")
     more = settle(cross_links(nodes, sets, similarity))
     label = settle(components(first.union(more)))
+    discard(first, more, opened, members, sets)
 
-    grouped = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    named = grouped.join(label.withColumnRenamed("node", "class_id"), "class_id", "left").select("doc_id", "class_id", F.coalesce("component", "class_id").alias("component_id"))
+    placed = owned.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    grouped = placed.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.min("component").alias("component"))
+    named = grouped.join(least, "component").select("doc_id", "class_id", "component_id")
     every = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     out = every.join(named, "doc_id", "left")
     own = F.col("doc_id")

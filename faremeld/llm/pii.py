@@ -18,8 +18,9 @@ from faremeld.llm.common import settle, table
 
 # Forms of personal data, in the order of their kinds.
 KINDS = ("email", "ip", "card", "phone", "term")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -39,11 +40,23 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the leftmost addresses that don't overlap, in one pass: each `@` is looked at once, and its local part leftwards."""
+    free = 0
+    for m in DOMAIN.finditer(text):
+        start = at = m.start()
+        while start > free and text[start - 1] in LOCAL:
+            start -= 1
+        if start < at:
+            yield start, m.end()
+            free = m.end()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the forms' matches that pass their tests, in this order."""
     out = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        out += [(start, 0, end) for start, end in emails(text)]
     if "." in text:
         out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(p.lstrip("0").rjust(3, "0") <= "255" and len(p.lstrip("0")) <= 3 for p in m[0].split("."))]
     for m in CARD.finditer(text):
@@ -132,7 +145,8 @@ def term_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 counts.update(word for word in {w.lower() for w in set(TERM.findall(text or ""))} if known[word])
                 if len(counts) > 200_000:
                     yield flushed()
-        yield flushed()
+        if counts:  # a task of no terms hands on nothing
+            yield flushed()
 
     counted = docs.select("text").mapInPandas(run, "term string, documents long").groupBy("term").agg(F.sum("documents").alias("documents"))
     return counted.join(terms, "term", "left_semi")

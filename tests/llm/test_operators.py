@@ -1,5 +1,6 @@
 """Edge cases of the corpus operators, and their results against plain versions."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -189,6 +190,38 @@ def plain_spans(rows, support):
     return sorted(((i, sorted([*sp, *((a, 4, b) for w, a, b in ws if w in told)])) for (i, _), sp, ws in zip(rows, forms, found)), key=str)
 
 
+def plain_joined(spans):
+    return ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def test_pii_query_matches_plain_version(spark, edge, tmp_path):
+    rows = [*told_rows(), *((200 + i, t) for i, t in enumerate(["@", "a@b", "x@y.z@q.w +4930123456789 1.2.3.4.5", "a" * 50_000 + " @x.y", "9" * 40_000 + ".1"]))]
+    rows += [(r["doc_id"], r["text"]) for r in edge.collect()]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, spans string, n_ip string")
+    docs.repartition(7).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in pii.op4_pii(spark, str(tmp_path)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans").collect()]
+    want = []
+    for i, spans in plain_spans(rows, 1):
+        base = [s for s in spans if s[1] < 4]
+        want.append((i, *(sum(s[1] == k for s in base) for k in range(4)), hashlib.sha256(plain_joined(base).encode()).hexdigest(), plain_joined(spans)))
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_pii_with_more_tasks_than_rows(spark, nothing):
+    docs = spark.createDataFrame([(1, "mail solo@only.net now"), (2, None)], "doc_id long, text string").repartition(6)
+    assert {r["doc_id"]: len(r["spans"]) for r in pii.find(docs).collect()}[2] == 0
+    assert pii.find(nothing.repartition(3)).count() == 0
+
+
+def test_addresses_are_the_form_s_matches():
+    form, rng = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), random.Random(40)
+    numbers = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(20_000):
+        text = "".join(rng.choice("ab1.@@-. %é") for _ in range(rng.randint(1, 22)))
+        assert list(pii.emails(text)) == [m.span() for m in form.finditer(text)]
+        assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in numbers.finditer(text)]
+
+
 def told_rows():
     rng = random.Random(4)
     rows = [(i, f"the quick Zorblax wrote to boss@corp.com from the office {words(rng, 5)}") for i in range(4)]
@@ -309,6 +342,17 @@ def test_language_held_out(spark, edge, nothing):
     assert language.keep_identified(spark, edge, "").columns == edge.columns
 
 
+def test_languages_without_doc_ids_are_learned(spark):
+    letters = {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst"}
+    rng = random.Random(8)
+    rows = [(None if k % 2 else 7, " ".join("".join(rng.choice(x) for _ in range(4)) for _ in range(6)), lang) for lang, x in letters.items() for k in range(600)]
+    rows += [(None, "uvwxy same text", "ee")] * 600 + [(None, None, "ff"), (None, "123", "gg")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_class=30)
+    assert model.classes == ["aa", "bb", "cc", "dd", "ee"]
+    found = {r["text"]: r["lang_pred"] for r in language.identify(spark.createDataFrame([("abca dcba",), ("jihg fghi",), ("uvwxy same text",)], "text string"), model).collect()}
+    assert found == {"abca dcba": "aa", "jihg fghi": "bb", "uvwxy same text": "ee"}
+
+
 # ---- 9
 
 
@@ -349,6 +393,15 @@ def test_near_duplicates_match_brute_force(spark, edge, nothing):
     assert near_dup.keep_one_of_each(spark, edge, "").columns == edge.columns
 
 
+def test_texts_of_one_doc_id_are_compared_each(spark):
+    rng = random.Random(6)
+    a, b = words(rng, 100), words(rng, 100)
+    near = " ".join("changed" if i == 50 else w for i, w in enumerate(b.split()))
+    rows = [(1, a), (1, b), (1, b), (2, near), (3, words(rng, 100)), (4, a.upper())]
+    got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, True), 2: (1, False), 3: (3, True), 4: (1, False)}
+
+
 def test_registers_estimate_probability_jaccard():
     a, b = near_dup.mix(np.arange(0, 60, dtype=np.uint64)), near_dup.mix(np.arange(15, 75, dtype=np.uint64))
     wa, wb = np.linspace(1, 3, 60), np.linspace(2, 1, 60)
