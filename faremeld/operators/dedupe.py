@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.internal import InternalFunction
 
 from faremeld.functions.names import MATCH_KEY
 from faremeld.operators.fx import amount
+from faremeld.schemas import OTHER_SOURCES
 
 
 def keep_cheapest(rows: DataFrame, key: list[str], price: str = "price", order: str = "row_ord") -> DataFrame:
@@ -56,45 +58,32 @@ def best_quotes(
     * With no loser at all, the winner keeps the map it came with.
     * `first_seen` is the place of the sailing's first row, for stable output.
 
-    Two passes, both reduced on the map side, so a sailing with a third of all
-    rows never meets in one task: the winner is a `min_by`; the losers need
-    only the last two rows per sailing and source (two, as the last may be the
-    winner), which the `row_number() <= 2` group limit cuts before its shuffle.
+    One pass over the quotes, as a state that merges on two levels. Per sailing
+    and source: the cheapest row, the place of the first, and the last two
+    rows, since the last may be the winner. Per sailing: the cheapest of these,
+    and the short states of its sources. Each task merges its own rows before
+    the shuffle, so a sailing with a third of all rows never meets in one task.
     """
-    rank = F.struct(amount().isNull(), amount(), F.col(order))
+    rank = F.struct(amount().isNull().alias("unpriced"), amount().alias("amount"), F.col(order).alias("ord"))
     carried = [c for c in quotes.columns if c not in key]
-    # Inside a struct, null equals null, so that the join keeps null keys.
-    keyed = F.struct(*key).alias("_key")
-    winners = quotes.groupBy(keyed).agg(
-        F.min_by(F.struct(*carried), rank).alias("_row"), F.min(order).alias("first_seen")
+    last_two = InternalFunction.collect_top_k(F.struct(F.col(order).alias("ord"), quote_entry().alias("entry")), 2, False)
+    by_source = quotes.groupBy(*key, "source").agg(
+        F.min_by(F.struct(*carried), rank).alias("row"), F.min(rank).alias("rank"), F.min(order).alias("first"), last_two.alias("last")
     )
-
-    newest_first = Window.partitionBy("_key", "source").orderBy(F.col(order).desc())
-    last_two = (
-        quotes.select(keyed, "source", order, quote_entry().alias("entry"))
-        .withColumn("_rn", F.row_number().over(newest_first))
-        .where("_rn <= 2")
-    )
-    # At most two short rows per source meet here.
-    rivals = last_two.groupBy("_key").agg(
-        F.collect_list(F.struct("source", "_rn", F.col(order).alias("_ord"), "entry")).alias("_rivals")
+    sailing = by_source.groupBy(*key).agg(
+        F.min_by("row", "rank").alias("_row"), F.min("first").alias("first_seen"), F.collect_list(F.struct("source", "last")).alias("_sources")
     )
 
-    joined = winners.join(rivals, "_key", "left").select("_key.*", "_row", "first_seen", "_rivals")
-    losing = F.sort_array(
-        F.filter("_rivals", lambda x: x["_ord"] != F.col(f"_row.{order}"))
-    )
-    joined = joined.withColumn("_losing", losing)
-    newest = F.filter(
-        "_losing",
-        lambda x, i: (i == 0) | (x["source"] != F.get(F.col("_losing"), i - 1)["source"]),
-    )
-    others = F.map_from_entries(F.transform(newest, lambda x: F.struct(x["source"], x["entry"])))
-    kept = F.col("_row.other_sources") if carry else F.create_map().cast("map<string,struct<price:string,currency:string,price_twd:string>>")
+    def losing(state: Column) -> Column:
+        """The source's last row that did not win, as a map entry with a null entry if there is none."""
+        return F.struct(state["source"], F.array_max(F.filter(state["last"], lambda x: x["ord"] != F.col(f"_row.{order}")))["entry"].alias("entry"))
+
+    others = F.filter(F.transform("_sources", losing), lambda x: x["entry"].isNotNull())
+    kept = F.col("_row.other_sources") if carry else F.create_map().cast(OTHER_SOURCES)
     plain = [F.col(f"_row.{c}").alias(c) for c in carried if c != "other_sources"]
-    return joined.select(
+    return sailing.withColumn("_others", others).select(
         *key,
         *plain,
-        F.when(F.size("_losing") > 0, others).otherwise(kept).alias("other_sources"),
+        F.when(F.size("_others") > 0, F.map_from_entries("_others")).otherwise(kept).alias("other_sources"),
         "first_seen",
     )
