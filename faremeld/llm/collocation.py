@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +21,9 @@ BUDGET, GROUPS = 1 << 18, 1 << 20
 #: Bits of the fixed map that tells which words are frequent; words outside it begin and continue no phrase.
 MAP_BITS = 1 << 24
 #: Distinct words and suffixes that a task holds before it hands them on.
-HELD_WORDS, HELD_SUFFIXES = 400_000, 2_000_000
+HELD_WORDS, HELD_SUFFIXES = 150_000, 1_000_000
 #: Words that a task numbers and counts together.
-STRETCH = 500_000
+STRETCH = 100_000
 
 #: Lower case for A-Z, one byte that no UTF-8 text holds for each mark that ends a piece, blanks for tabs.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b for b in range(256))
@@ -45,8 +46,7 @@ class Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(self.start + word, self.seed) or 1
         if self.packed is not None and not int(self.packed[h % MAP_BITS >> 5]) >> (h & 31) & 1:
-            self[word] = 0
-            return 0
+            return 0  # rare, so not worth the memory
         self[word] = number = len(self.hashes)
         self.hashes.append(h)
         return number
@@ -101,8 +101,8 @@ def word_counts(docs: DataFrame, seed: int) -> DataFrame:
         def flushed() -> Iterator[pd.DataFrame]:
             named = held.named()
             for lang, numbers in held.langs.items():
-                out = [(lang, word.decode(), int(named[i]), int(total[i])) for word, i in numbers.items() if i and i < len(total) and total[i]]
-                if out:
+                words = ((lang, word.decode(), int(named[i]), int(total[i])) for word, i in numbers.items() if i and i < len(total) and total[i])
+                while out := list(itertools.islice(words, 20_000)):
                     yield pd.DataFrame(out, columns=["lang", "word", "h", "n"])
             held.clear()
 

@@ -8,6 +8,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from operator import sub
 
 import numpy as np
 import pandas as pd
@@ -69,32 +70,39 @@ class Merges:
 
         Words that begin alike share these states.
         """
-        states, joins, size = self.states, self.joins[0], min(self.longest, len(prefix))
-        inner = final = None
-        for start in range(len(prefix) - size, len(prefix)):
+        states, size = self.states, len(prefix)
+        first = max(0, size - self.longest)
+        known, tokens = self.joins[0], self.inner
+        for start in range(first, size):
             token = prefix[start:]
-            if inner is None and token in self.inner:
+            if token in tokens:
                 last, count, _ = states[prefix[:start]]
-                if joins[last, token] if (last, token) in joins else self.fits(last, token, False):
-                    inner = token, count + 1
-                    if final is not None:
-                        break
-            if final is None and token in self.final:
+                fits = known.get((last, token))
+                if fits or fits is None and self.fits(last, token, False):
+                    break
+        inner = count + 1
+        known, tokens = self.joins[1], self.final
+        for start in range(first, size):
+            end = prefix[start:]
+            if end in tokens:
                 last, count, _ = states[prefix[:start]]
-                if self.fits(last, token, True):
-                    final = count + 1
-                    if inner is not None:
-                        break
-        found = states[prefix] = (*inner, final)
+                fits = known.get((last, end))
+                if fits or fits is None and self.fits(last, end, True):
+                    break
+        found = states[prefix] = token, inner, count + 1
         return found
 
     def totals(self, symbols: str) -> list[int]:
         """Tokens of each prefix of a pre-token, were it to end there."""
-        states = self.states
-        if len(states) >= REMEMBERED:
+        states, known = self.states, len(symbols)
+        if len(states) >= 2 * REMEMBERED:
             states.clear()
             states[""] = ("", 0, 0)
-        return [(states.get(p := symbols[:at]) or self.state(p))[2] for at in range(1, len(symbols) + 1)]
+        while symbols[:known] not in states:
+            known -= 1
+        for at in range(known + 1, len(symbols) + 1):
+            self.state(symbols[:at])
+        return [states[symbols[:at]][2] for at in range(1, len(symbols) + 1)]
 
 
 class Run:
@@ -199,7 +207,7 @@ class PrefixTable(dict):
         self.joining = {chr(int(d.split()[1], 16)) for c in map(chr, range(0x110000)) if (d := unicodedata.decomposition(c)) and d[0] != "<" and " " in d}
         self.joining |= set(map(chr, [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]))
         self.kinds: dict[str, str] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
 
     def symbols(self, text: str) -> str:
         return "".join([self.bytes[b] for b in text.encode()])
@@ -248,42 +256,36 @@ class PrefixTable(dict):
                 base += whole
         return out
 
-    def letters(self, word: str) -> list[int]:
-        """Counts after each letter of a pre-token whose letters stand for themselves."""
-        if (counts := self.words.get(word)) is None:
-            if len(word) > 64:  # too long to name each of its prefixes
-                run, found = Run(self.merges), []
-                for letter in word:
+    def pre_token(self, letters: str) -> bytes:
+        """The changes along a pre-token whose letters stand for themselves."""
+        if (found := self.words.get(letters)) is None:
+            if len(letters) > 64:  # too long to name each of its prefixes
+                run, counts = Run(self.merges), []
+                for letter in letters:
                     run.push(self.symbols(letter))
-                    found.append(run.total())
+                    counts.append(run.total())
+            elif letters.isascii():
+                counts = self.merges.totals(letters)
             else:
-                found = self.merges.totals(word if word.isascii() else self.symbols(word))
-                if not word.isascii():
-                    found = [found[at - 1] for at in itertools.accumulate(len(letter.encode()) for letter in word)]
+                counts = self.merges.totals(self.symbols(letters))
+                counts = [counts[at - 1] for at in itertools.accumulate(len(letter.encode()) for letter in letters)]
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
-            counts = self.words[word] = found
-        return counts
+            found = self.words[letters] = array("b", map(sub, counts, [0, *counts])).tobytes()
+        return found
 
-    def counts(self, item: str) -> list[int]:
-        """Counts after each code point of an item; ASCII ones without quotes fall into plain pre-tokens."""
+    def __missing__(self, item: str) -> bytes:
+        """Raises OverflowError if a change needs more than a byte. What follows a pre-token doesn't change its own counts."""
         if m := PLAIN.fullmatch(item):
-            parts = m.groups()
+            letters, marks = m.groups()
+            found = self.pre_token(letters.lower())
+            if marks:
+                found += self.pre_token(marks)
         elif item.isascii() and item.isprintable() and "'" not in item and "<|" not in item:
-            parts = ASCII_PARTS.findall(item)
+            found = b"".join(map(self.pre_token, ASCII_PARTS.findall(item.lower())))
         else:
-            return self.general(item)
-        out, base = [], 0
-        for part in parts:
-            if part:
-                out += [base + n for n in self.letters(part.lower())] if base else self.letters(part.lower())
-                base = out[-1]
-        return out
-
-    def __missing__(self, item: str) -> bytes:
-        """Raises OverflowError if a change needs more than a byte."""
-        counts = self.counts(item)
-        found = array("b", [b - a for a, b in zip([0, *counts], counts)]).tobytes()
+            counts = self.general(item)
+            found = array("b", map(sub, counts, [0, *counts])).tobytes()
         if len(item) <= 64:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -296,7 +298,7 @@ class PrefixTable(dict):
         try:
             return np.frombuffer(b"\0".join(map(self.__getitem__, items)), np.int8)
         except OverflowError:
-            found = [np.diff(np.array([0, *self.counts(x)], np.int32)) for x in items]
+            found = [np.diff(np.array([0, *self.general(x)], np.int32)) for x in items]
             return np.concatenate([part for x in found for part in (np.zeros(1, np.int32), x)])[1:].astype(np.int32)
 
 
