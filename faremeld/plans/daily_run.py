@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from faremeld import fixed_values as fv
@@ -14,7 +15,7 @@ from faremeld.operators.fx import resolve_rate
 from faremeld.operators.merge import as_previous, as_published, merge_run
 from faremeld.operators.ordering import in_output_order
 from faremeld.operators.quality import run_report, run_totals, unmapped_names, unmapped_warning
-from faremeld.plans import publish
+from faremeld.plans import publish, store
 from faremeld.schemas import FX, QUOTES, RUN_STATUS
 from faremeld.sources.registry import Source, default_sources, select_sources
 
@@ -60,6 +61,37 @@ def run_source(source: Source, raw: tuple, start: date, end: date, stage: str |
     return outcome
 
 
+def run_sources(spark: SparkSession, sources: list[Source], raw: dict[str, tuple], start: date, end: date, stages: dict[str, str]) -> list[dict]:
+    """Reads all sources at once, each as Spark jobs under a tag of its own.
+
+    A source over its deadline has its jobs cancelled by that tag, and counts as
+    failed; the others neither wait for it nor notice. Outcomes come in the
+    order of `sources`.
+    """
+    answers: dict[str, dict] = {}
+    tags = {source.name: f"source-{source.name}-{uuid.uuid4().hex}" for source in sources}
+
+    def read(source: Source) -> None:
+        spark.sparkContext.addJobTag(tags[source.name])
+        answers[source.name] = run_source(source, raw[source.name], start, end, stages.get(source.name))
+
+    began = time.monotonic()
+    threads = [InheritableThread(target=read, args=(source,), session=spark) for source in sources]
+    for thread in threads:
+        thread.daemon = True  # a source that hangs outside Spark must not hold the run
+        thread.start()
+    outcomes = []
+    for source, thread in zip(sources, threads):
+        thread.join(max(0.0, began + source.deadline_s - time.monotonic()))
+        outcome = answers.get(source.name)
+        if outcome is None:
+            spark.sparkContext.cancelJobsWithTag(tags[source.name])
+            late = f"gave no answer within {source.deadline_s:g} s"
+            outcome = {"source": source.name, "ok": False, "error": late, "rows": None, "duration_s": time.monotonic() - began}
+        outcomes.append(outcome)
+    return outcomes
+
+
 def run(
     spark: SparkSession,
     raw: dict[str, tuple],
@@ -77,7 +109,7 @@ def run(
 ) -> RunResult:
     """Run the selected sources over their raw tables and publish under `out`.
 
-    `previous` defaults to the newest snapshot below `out`.
+    `previous` defaults to the newest run published below `out`.
     """
     registry = registry or default_sources()
     end = start + timedelta(days=lookahead_days)
@@ -85,11 +117,9 @@ def run(
         selected = [name for name in registry if name in select_sources(",".join(raw), tuple(registry))] if raw else []
     elif selected:
         selected = select_sources(",".join(selected), tuple(registry))
-    outcomes = []
-    for i, name in enumerate(selected):
-        stage = None if dry_run else f"{out}/stage/run={start.isoformat()}/source={name}"
-        result = run_source(registry[name], raw[name], start, end, stage)
-        outcomes.append((i, name, result["ok"], result["error"], result["duration_s"], result["rows"]))
+    stages = {} if dry_run else {name: f"{out}/stage/run={start.isoformat()}/source={name}" for name in selected}
+    read = run_sources(spark, [registry[name] for name in selected], raw, start, end, stages)
+    outcomes = [(i, name, r["ok"], r["error"], r["duration_s"], r["rows"]) for i, (name, r) in enumerate(zip(selected, read))]
     status = spark.createDataFrame([o[:5] for o in outcomes], RUN_STATUS)
 
     with_ord = QUOTES.fieldNames() + ["row_ord"]
@@ -100,8 +130,6 @@ def run(
             current = current.unionByName(rows.select(*with_ord))
     if previous is None:
         previous = latest_published(spark, out)
-    if previous is None:
-        previous = empty
     if previous_rate is None:
         previous_rate = latest_rate(spark, out)
 
@@ -136,27 +164,18 @@ def write_outputs(spark: SparkSession, result: RunResult, out: str, day: date) -
     head = publish.envelope_head(result.report, rate, warnings, now, count)
     publish.write_json(result.quotes, head, f"{out}/data/deals.json")
     publish.write_csv(in_output_order(result.quotes), f"{out}/data/deals.csv")
-    publish.write_snapshot(result.quotes, F.lit(day), f"{out}/data/history")
-    dated = result.rate.withColumn("snapshot_date", F.lit(day))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(
-        f"{out}/data/rates"
-    )
-
+    history = f"{out}/data/history"
+    newest = store.newest_before(store.commits(spark, history)).select("run_id").first()
+    told = spark.createDataFrame([(w,) for w in result.warnings], "warning string")
+    store.publish(result.quotes, history, newest["run_id"] + 1 if newest else 0, F.lit(day), result.report, told, result.rate)
 
-def latest_published(spark: SparkSession, out: str) -> DataFrame | None:
-    newest = _newest(spark, f"{out}/data/history")
-    return None if newest is None else as_previous(newest)
 
+def latest_published(spark: SparkSession, out: str) -> DataFrame:
+    """The newest run's quotes, as the previous side; none before the first."""
+    history = f"{out}/data/history"
+    return as_previous(store.quotes_of(spark, history, store.newest_before(store.commits(spark, history))))
 
-def latest_rate(spark: SparkSession, out: str) -> DataFrame | None:
-    newest = _newest(spark, f"{out}/data/rates")
-    return None if newest is None else newest.select(*FX.fieldNames())
 
-
-def _newest(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException:
-        return None
-    newest = table.agg(F.max("snapshot_date")).first()[0]
-    return None if newest is None else table.where(F.col("snapshot_date") == F.lit(newest)).drop("snapshot_date")
+def latest_rate(spark: SparkSession, out: str) -> DataFrame:
+    newest = store.newest_before(store.commits(spark, f"{out}/data/history"))
+    return newest.where("fx IS NOT NULL").select("fx.*")

@@ -105,15 +105,3 @@ def write_csv(quotes_in_order: DataFrame, path: str) -> None:
     first = table.columns[0]
     table = table.withColumnRenamed(first, "﻿" + first)
     table.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
-
-
-def write_snapshot(quotes: DataFrame, day: Column, path: str) -> None:
-    """One partition per day; a second run on a day replaces only that day."""
-    kept = [c for c in quotes.columns if c in (*QUOTE_COLUMNS, "published_pos", "first_seen", "k_ship", "k_port")]
-    (
-        quotes.select(*kept, day.alias("snapshot_date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date")
-        .parquet(path)
-    )

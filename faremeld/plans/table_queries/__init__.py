@@ -13,6 +13,7 @@ from faremeld.plans.table_queries import (  # noqa: F401
     names,
     pages,
     payloads,
+    runs,
     scalars,
     serving,
 )

@@ -27,18 +27,33 @@ MASTER = (
 )
 
 
-def read_master(master: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Port, ship and line dimensions; a repeated id keeps its last entry."""
-    data = master.select(F.from_json("payload", MASTER)["data"].alias("d"))
+def master_dims(master: DataFrame) -> DataFrame:
+    """(dimension, id, name, parent_id) of ports, ships and lines, from one parse of the payloads.
+
+    A repeated id keeps its last entry. Master data in several rows has their
+    order in `part`.
+    """
+    part = F.col("part") if "part" in master.columns else F.lit(0)
+    data = master.select(part.cast("bigint").alias("part"), F.from_json("payload", MASTER)["data"].alias("d"))
+
+    def entries(field: str, dimension: str, key: str, parent: str | None = None) -> Column:
+        made = lambda e, at: F.struct(
+            F.lit(dimension).alias("dimension"), e[key].alias("id"), e["name"].alias("name"),
+            (e[parent] if parent else F.lit(None).cast("string")).alias("parent_id"), at.alias("at"),
+        )
+        return F.transform(F.coalesce(f"d.{field}", F.array().cast(data.schema["d"].dataType[field].dataType)), made)
 
-    def last_per_id(field: str, key: str) -> DataFrame:
-        rows = data.select(F.posexplode(f"d.{field}").alias("pos", "e"))
-        return rows.groupBy(F.col(f"e.{key}").alias("id")).agg(F.max_by("e", "pos").alias("e"))
+    every = F.concat(entries("port", "port", "code"), entries("ship", "ship", "id", "parentId"), entries("cruiseline", "line", "id"))
+    rows = data.select("part", F.explode(every).alias("e")).select("part", "e.*")
+    last = F.max_by(F.struct("name", "parent_id"), F.struct("part", "at"))
+    return rows.groupBy("dimension", "id").agg(last.alias("e")).select("dimension", "id", "e.*")
 
-    ports = last_per_id("port", "code").select("id", F.col("e.name").alias("name"))
-    ships = last_per_id("ship", "id").select("id", F.col("e.name").alias("name"), F.col("e.parentId").alias("line_id"))
-    lines = last_per_id("cruiseline", "id").select("id", F.col("e.name").alias("name"))
-    return ports, ships, lines
+
+def read_master(master: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Port, ship and line dimensions."""
+    dims = master_dims(master)
+    ports, ships, lines = (dims.where(F.col("dimension") == name) for name in ("port", "ship", "line"))
+    return ports.select("id", "name"), ships.select("id", "name", F.col("parent_id").alias("line_id")), lines.select("id", "name")
 
 
 def look_up(rows: DataFrame, dimension: DataFrame, key: str, out: dict[str, str]) -> DataFrame:

@@ -17,6 +17,11 @@ SF_DIR = "/root/testdata/sf0.001"
 SAMPLE = [
     "cross_source_merge",
     "incremental_merge",
+    "stream_run_log",
+    "snapshot_series",
+    "failure_isolation",
+    "master_dims",
+    "master_without_ports",
     "output_order",
     "price_history",
     "consecutive_dedup",

@@ -5,19 +5,22 @@ import glob
 import io
 import json
 import os
+import time
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
+import pyarrow.parquet as pq
+import pytest
 from conftest import quote, quotes_df
 from pyspark.sql import functions as F
 
 from faremeld.operators.history import price_changes
-from faremeld.plans import publish, serving
-from faremeld.plans.daily_run import run
+from faremeld.plans import publish, serving, store
+from faremeld.plans.daily_run import run, run_sources
 from faremeld.schemas import FX, RUN_STATUS
 from faremeld.sources.published import read_previous, read_previous_rate, read_snapshots
 from faremeld.sources.registry import Source
-from faremeld.streaming.daily_stream import merge_stream
+from faremeld.streaming.daily_stream import land_run, merge_stream
 
 OLD = {
     "generated_at": "2026-08-13T21:36:31+00:00",
@@ -91,8 +94,11 @@ def test_run_publish_and_fail_over(spark, tmp_path):
     got = second.quotes.collect()
     assert second.all_failed and len(got) == 3 and {r.stale_since for r in got} == {date(2026, 8, 13)}
     assert second.rate.first().stale and {r.price_twd for r in got} == {None, 3216, 19584}
-    days = [r[0] for r in spark.read.parquet(f"{out}/data/history").select("snapshot_date").distinct().orderBy(F.col("snapshot_date")).collect()]
-    assert days == [date(2026, 8, 13), date(2026, 8, 14)]
+    history = f"{out}/data/history"
+    assert [tuple(r) for r in store.calendar(spark, history).orderBy("snapshot_date").collect()] == [(date(2026, 8, 13), None, date(2026, 8, 14)), (date(2026, 8, 14), date(2026, 8, 13), None)]
+    kept = {r.day: r for r in store.of_days(store.commits(spark, history)).collect()}
+    assert kept[date(2026, 8, 13)].warnings == first.warnings and [r.ok for r in kept[date(2026, 8, 14)].report] == [False]
+    assert kept[date(2026, 8, 14)].fx.stale and kept[date(2026, 8, 14)].rows == 3
 
 
 def test_exceptions_fail_only_their_source(spark, tmp_path):
@@ -103,12 +109,70 @@ def test_exceptions_fail_only_their_source(spark, tmp_path):
     assert got.quotes.count() == 1 and got.rate.count() == 0 and os.listdir(tmp_path) == []
 
 
+def placed(spark, rows):
+    return quotes_df(spark, rows).withColumn("published_pos", F.col("row_ord")[0])
+
+
+def publish_rows(spark, path, run_id, day, rows):
+    report = spark.createDataFrame([(0, "icruise", True, 2, 1.0, None)], "src_ord int, source string, ok boolean, count bigint, duration_s double, error string")
+    store.publish(placed(spark, rows), path, run_id, F.lit(day), report, spark.createDataFrame([], "warning string"), spark.createDataFrame([], FX))
+
+
 def test_snapshot_of_a_day_is_replaced(spark, tmp_path):
     path = str(tmp_path / "h")
-    for day, rows in ((date(2026, 8, 1), [quote()]), (date(2026, 8, 2), [quote()]), (date(2026, 8, 2), [quote(), quote(nights=4)])):
-        publish.write_snapshot(quotes_df(spark, rows), F.lit(day), path)
-    counts = {r.snapshot_date: r["count"] for r in spark.read.parquet(path).groupBy("snapshot_date").count().collect()}
+    assert store.snapshots(spark, path).count() == 0 and store.calendar(spark, path).count() == 0
+    for i, (day, rows) in enumerate(((date(2026, 8, 1), [quote()]), (date(2026, 8, 2), [quote()]), (date(2026, 8, 2), [quote(), quote(nights=4)]))):
+        publish_rows(spark, path, i, day, rows)
+    counts = {r.snapshot_date: r["count"] for r in store.snapshots(spark, path).groupBy("snapshot_date").count().collect()}
     assert counts == {date(2026, 8, 1): 1, date(2026, 8, 2): 2}
+    commit = store.newest_before(store.commits(spark, path), 2).first()
+    assert (commit.run_id, commit.rows, commit.fx, commit.warnings, commit.report[0].source) == (1, 1, None, [], "icruise")
+
+
+def test_a_write_without_its_commit_is_not_seen(spark, tmp_path):
+    path = str(tmp_path / "h")
+    publish_rows(spark, path, 0, date(2026, 8, 1), [quote()])
+    store.write_aside(placed(spark, [quote(), quote(nights=9)]), path)
+    os.makedirs(f"{path}/quotes/attempt=torn")
+    with open(f"{path}/quotes/attempt=torn/part-0.parquet", "wb") as file:
+        file.write(b"PAR1 half")
+    assert [r.nights for r in store.snapshots(spark, path).collect()] == [6]
+    # A snapshot with a part missing is told from a whole one.
+    publish_rows(spark, str(tmp_path / "i"), 0, date(2026, 8, 1), [quote(), quote(nights=9)])
+    lost = [p for p in glob.glob(f"{tmp_path}/i/quotes/attempt=*/part-*.parquet") if pq.read_metadata(p).num_rows]
+    os.remove(lost[0])
+    with pytest.raises(Exception, match="damaged snapshot of 2026-08-01"):
+        store.snapshots(spark, str(tmp_path / "i")).collect()
+
+
+def test_a_run_committed_twice_counts_once(spark, tmp_path):
+    path = str(tmp_path / "h")
+    for rows in ([quote()], [quote(), quote(nights=4)]):
+        publish_rows(spark, path, 7, date(2026, 8, 1), rows)
+    assert store.commits(spark, path).count() == 1 and store.snapshots(spark, path).count() == 2
+
+
+def test_sources_run_at_once_and_one_that_hangs_is_cancelled(spark, tmp_path):
+    rows = quotes_df(spark, [quote(), quote(nights=4)])
+
+    def wait(batches):
+        for batch in batches:
+            time.sleep(120)
+            yield batch
+
+    hanging = fixed("hanging", lambda df: df.mapInPandas(wait, df.schema))
+    outside = fixed("outside", lambda df: time.sleep(60) or df)
+    sources = [Source("hanging", hanging.parse, hanging.health, 5.0), fixed("good", lambda df: df), fixed("raising", lambda df: df.where("1/0 > 1")), Source("outside", outside.parse, outside.health, 6.0)]
+    began = time.monotonic()
+    got = run_sources(spark, sources, {s.name: (rows,) for s in sources}, date(2026, 8, 13), date(2026, 9, 13), {"good": f"{tmp_path}/good"})
+    assert time.monotonic() - began < 50
+    assert [(r["source"], r["ok"]) for r in got] == [("hanging", False), ("good", True), ("raising", False), ("outside", False)]
+    assert got[0]["error"] == "gave no answer within 5 s" and "DIVIDE_BY_ZERO" in got[2]["error"] and got[1]["rows"].count() == 2
+    for _ in range(100):  # the cancelled job frees its tasks
+        if not spark.sparkContext.statusTracker().getActiveJobsIds():
+            break
+        time.sleep(0.1)
+    assert not spark.sparkContext.statusTracker().getActiveJobsIds()
 
 
 def test_previous_is_all_or_nothing(spark, tmp_path):
@@ -193,23 +257,33 @@ def test_price_changes_over_missing_days(spark):
 
 def test_stream_of_runs(spark, tmp_path):
     landing, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
-    status = tmp_path / "status.json"
-
-    def land(rows, ok):
-        outcomes = [{"src_ord": i, "source": s, "ok": o, "duration_s": 1.0} for i, (s, o) in enumerate(ok.items())]
-        status.write_text("\n".join(json.dumps(o) for o in outcomes), encoding="utf-8")
-        quotes_df(spark, rows).write.mode("append").parquet(landing)
-        merge_stream(spark, landing, str(status), out, check, F.lit("32")).awaitTermination(120)
-
-    land([quote(), quote(source="expedia", ship_name="B")], {"icruise": True, "expedia": True})
-    land([quote(price="400")], {"icruise": True, "expedia": False})
-    runs = spark.read.parquet(out).orderBy("run_id", "ship_name").collect()
-    assert [(r.run_id, r.ship_name, r.price, r.stale_since is not None) for r in runs] == [
-        (0, "B", 612, False),
-        (0, "Carnival Luminosa", 612, False),
-        (1, "B", 612, True),
-        (1, "Carnival Luminosa", 400, False),
-    ]
+    rate = spark.sql("SELECT CAST(32 AS decimal(18,8)) AS usd_twd, DATE'2026-08-13' AS as_of, 's' AS source, false AS stale")
+
+    def land(run_id, ok, rows=None):
+        status = spark.createDataFrame([(i, s, o, None, 1.0) for i, (s, o) in enumerate(ok.items())], RUN_STATUS)
+        land_run(landing, run_id, F.lit(date(2026, 8, 13 + run_id)), status, None if rows is None else quotes_df(spark, rows))
+
+    def published():
+        merge_stream(spark, landing, out, check, rate).awaitTermination(120)
+        rows = store.quotes_of(spark, out, store.commits(spark, out), "run_id").orderBy("run_id", "ship_name").collect()
+        return [(r.run_id, r.ship_name, r.price, r.stale_since is not None) for r in rows]
+
+    land(0, {"icruise": True, "expedia": True}, [quote(), quote(source="expedia", ship_name="B")])
+    first = [(0, "B", 612, False), (0, "Carnival Luminosa", 612, False)]
+    assert published() == first
+    # No source gives anything: nothing but a manifest lands, and the old rows are published as stale.
+    land(1, {"icruise": False, "expedia": False})
+    second = [(1, "B", 612, True), (1, "Carnival Luminosa", 612, True)]
+    assert published() == first + second
+    land(2, {"icruise": True, "expedia": False}, [quote(price="400")])
+    land(3, {"expedia": True}, [])
+    rest = [(2, "B", 612, True), (2, "Carnival Luminosa", 400, False), (3, "Carnival Luminosa", 400, True)]
+    assert published() == first + second + rest
+    # A run that comes again gives the same rows, and nothing new is nothing to do.
+    land(1, {"icruise": False, "expedia": False})
+    assert published() == first + second + rest and published() == first + second + rest
+    reports = {r.run_id: [x.ok for x in r.report] for r in store.commits(spark, out).collect()}
+    assert reports == {0: [True, True], 1: [False, False], 2: [True, False], 3: [True]}
 
 
 def page_rows(spark):

@@ -150,6 +150,14 @@ def test_itinerary_items(spark):
     assert got[0].detail_url.endswith("/package/1?siid=1095905&lang=1")
 
 
+def test_master_data_in_parts_keeps_the_last_entry(spark):
+    first = {"data": {"ship": [{"id": "1", "name": "A", "parentId": "9"}, {"id": "1", "name": "B"}], "port": [{"code": "KEE", "name": "old"}]}}
+    second = {"data": {"cruiseline": [{"id": "9", "name": "Line"}], "port": [{"code": "KEE", "name": "new"}, {"code": "KEE", "name": "last"}], "ship": None}}
+    parts = spark.createDataFrame([(json.dumps(second), 2), (json.dumps(first), 1), ("broken", 3), (None, 4)], "payload string, part int")
+    got = sorted(tuple(r) for r in itinerary_api.master_dims(parts).collect())
+    assert got == [("line", "9", "Line", None), ("port", "KEE", "last", None), ("ship", "1", "B", None)]
+
+
 def test_items_without_port_dimension_fail(spark):
     empty = {"data": {"ship": [], "cruiseline": [], "port": []}}
     assert itinerary_api.health(items_df(spark, [item()]), master_df(spark, empty)).count() == 1
@@ -403,6 +411,7 @@ def test_select_sources():
     everything = ["icruise", "expedia", "cruisedirect", "asiayo", "bwt"]
     assert select_sources(None) == everything and select_sources(" ALL ") == everything
     assert select_sources(" icruise , expedia ") == ["icruise", "expedia"]
+    assert select_sources("bwt,,bwt, icruise") == ["bwt", "icruise"] and select_sources(" , ") == []
     with pytest.raises(ValueError):
         select_sources("nosuchsite")
     assert list(default_sources()) == everything
