@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from faremeld.functions.money import claimed_count
 from faremeld.functions.text import before_query, clean_text
@@ -16,18 +16,21 @@ from faremeld.operators.quality import (
 )
 from faremeld.plans.table_queries.feeds import raw_table, table
 from faremeld.plans.table_queries.registry import query
-from faremeld.sources.html_rows import explode_pages
-from faremeld.sources.html_tree import text_at
 
 
-def _read_links(page):
-    for link in page.find_all("nav li a[href]"):
-        yield {"href": link.attrs.get("href"), "label": link.text()}
+NAV_LINK = '<li><a href="([^"]*)">([^<]*)</a>'
 
 
 def page_links(spark, sf_dir) -> DataFrame:
-    fields = [("href", T.StringType()), ("label", T.StringType())]
-    return explode_pages(raw_table(spark, sf_dir, "pages"), "html", ["page_id"], fields, _read_links)
+    """Every navigation link of every whole page, cut out by JVM expressions."""
+    found = F.regexp_extract_all("html", F.lit(NAV_LINK), F.lit(0))
+    rows = raw_table(spark, sf_dir, "pages").select("page_id", F.posexplode(found).alias("row_no", "link"))
+    return rows.select(
+        "page_id",
+        F.col("row_no").cast("bigint").alias("row_no"),
+        F.regexp_extract("link", NAV_LINK, 1).alias("href"),
+        F.regexp_extract("link", NAV_LINK, 2).alias("label"),
+    )
 
 
 _LINKS_SQL = """
@@ -50,10 +53,6 @@ def html_links(spark, sf_dir):
     )
 
 
-def _read_headings(page):
-    yield {"title": text_at(page, "head title"), "heading": text_at(page, "article h1"), "footer": text_at(page, "footer")}
-
-
 @query(
     "html_headings",
     r"""
@@ -63,9 +62,15 @@ SELECT page_id, trim(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&
 FROM pages""",
 )
 def html_headings(spark, sf_dir):
-    fields = [(n, T.StringType()) for n in ("title", "heading", "footer")]
-    rows = explode_pages(raw_table(spark, sf_dir, "pages"), "html", ["page_id"], fields, _read_headings)
-    return rows.select("page_id", *[clean_text(F.col(n)).alias(n) for n, _ in fields])
+    """Title, first heading and footer of every whole page, with the entities that they use."""
+
+    def read(tag: str):
+        text = F.regexp_extract("html", f"(?s)<{tag}>(.*?)</{tag}>", 1)
+        for entity, letter in (("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+            text = F.replace(text, F.lit(entity), F.lit(letter))
+        return clean_text(text)
+
+    return raw_table(spark, sf_dir, "pages").select("page_id", read("title").alias("title"), read("h1").alias("heading"), read("footer").alias("footer"))
 
 
 def _blocked(spark, sf_dir) -> DataFrame:
@@ -97,15 +102,20 @@ _CLAIMS_SQL = "claims AS (SELECT page_id, url, len(regexp_extract_all(html, '<li
 
 @query(
     "parse_health",
-    f"""WITH {_LINKS_SQL}, {_CLAIMS_SQL},
-read AS (SELECT page_id, count(*) AS parsed FROM links WHERE regexp_full_match(href, '[\\x00-\\x7f]*') AND length(label) < 4 GROUP BY ALL)
+    """
+WITH claims AS (SELECT page_id, len(regexp_extract_all(html, '<p>')) AS claimed FROM pages),
+read AS (SELECT page_id, unnest(regexp_extract_all(html, '<p>[^<]*</p>')) AS paragraph FROM pages),
+counts AS (SELECT page_id, count(*) AS parsed FROM read GROUP BY ALL)
 SELECT page_id, claimed, coalesce(parsed, 0) AS parsed,
        CASE WHEN claimed > 0 AND coalesce(parsed, 0) = 0 THEN 'unreadable' WHEN coalesce(parsed, 0) = 0 THEN 'empty' ELSE 'ok' END AS verdict
-FROM claims LEFT JOIN read USING (page_id)""",
+FROM claims LEFT JOIN counts USING (page_id)""",
 )
 def page_health(spark, sf_dir):
-    links = page_links(spark, sf_dir).where(F.col("href").rlike(r"^[\x00-\x7f]*$") & (F.length("label") < 4))
-    health = parse_health(_claims(spark, sf_dir), links, "page_id", "claimed")
+    """Pages announce the paragraphs they open; those that are closed can be read, so a page of none is unreadable."""
+    pages = raw_table(spark, sf_dir, "pages")
+    claims = pages.select("page_id", F.regexp_count("html", F.lit("<p>")).alias("claimed"))
+    paragraphs = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<p>[^<]*</p>"), F.lit(0))).alias("paragraph"))
+    health = parse_health(claims, paragraphs, "page_id", "claimed")
     return health.select("page_id", F.col("claimed").cast("bigint").alias("claimed"), "parsed", "verdict")
 
 

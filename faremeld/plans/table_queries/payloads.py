@@ -326,7 +326,7 @@ WHERE o_orderkey % 3 <> 0 AND CAST(o_orderdate AS DATE) {_IN_WINDOW}""",
 )
 def stream_rows(spark, sf_dir):
     """Departures of all streams: step 1 joined to step 2, filtered, parsed."""
-    joined = event_stream.departures(event_stream.read_events(_stream_lines(spark, sf_dir)))
+    joined = event_stream.departures(_stream_lines(spark, sf_dir))
     rows = event_stream.to_rows(joined, FIRST, LAST)
     return rows.select(
         F.col("row_ord")[0].alias("stream_id"),
@@ -358,7 +358,7 @@ FROM orders, (VALUES ('M', 'true'), ('F', 'false')) m(kind, cruise), (VALUES ('a
 )
 def step_join(spark, sf_dir):
     """Step 2 joined to step 1: the last entry of a code wins, details of an unknown code go."""
-    joined = event_stream.departures(event_stream.read_events(_stream_lines(spark, sf_dir)))
+    joined = event_stream.departures(_stream_lines(spark, sf_dir))
     return joined.select(
         "stream_id",
         F.col("mainGroupCode").alias("code"),

@@ -31,8 +31,8 @@ DETAILS = (
 )
 
 
-def read_events(lines: DataFrame) -> DataFrame:
-    """(stream_id, step, data): the last event of each step.
+def event_rows(lines: DataFrame) -> DataFrame:
+    """(stream_id, line_no, scraped_at, step, data) of every event.
 
     Lines that are no data, the end mark and unreadable JSON are skipped.
     """
@@ -42,37 +42,33 @@ def read_events(lines: DataFrame) -> DataFrame:
     # Read as the only element of an array: text behind the object then makes
     # the whole line unreadable instead of being overlooked.
     events = F.from_json(F.concat(F.lit("["), "_payload", F.lit("]")), "array<struct<step:string,data:string>>")
-    return (
-        payloads.select("stream_id", "line_no", "scraped_at", F.inline(F.when(F.size(events) == 1, events)))
-        .where("step <> ''")
-        .groupBy("stream_id", "step")
-        .agg(F.max_by("data", "line_no").alias("data"), F.max_by("scraped_at", "line_no").alias("scraped_at"))
-    )
+    return payloads.select("stream_id", "line_no", "scraped_at", F.inline(F.when(F.size(events) == 1, events))).where("step <> ''")
 
 
-def main_groups(events: DataFrame) -> DataFrame:
-    """Step 1 as rows; a code given twice keeps its last entry."""
-    rows = events.where("step = 'step1'").select(
-        "stream_id", F.posexplode(F.from_json("data", MAINS)).alias("pos", "main")
-    )
-    return (
-        rows.where(F.coalesce(F.col("main.mainGroupCode"), F.lit("")) != "")
-        .groupBy("stream_id", F.col("main.mainGroupCode").alias("mainGroupCode"))
-        .agg(F.max_by("main", "pos").alias("main"))
-    )
+def read_events(lines: DataFrame) -> DataFrame:
+    """(stream_id, step, data, scraped_at): the last event of each step."""
+    return event_rows(lines).groupBy("stream_id", "step").agg(F.max_by("data", "line_no").alias("data"), F.max_by("scraped_at", "line_no").alias("scraped_at"))
 
 
-def departures(events: DataFrame) -> DataFrame:
-    """Step 2 joined to step 1, one row per group departure."""
-    details = events.where("step = 'step2'").select(
-        "stream_id",
-        "scraped_at",
-        F.posexplode(F.from_json("data", DETAILS)).alias("detail_no", "detail"),
-    )
-    details = details.withColumn("mainGroupCode", F.col("detail.mainGroupCode"))
-    return details.join(main_groups(events), ["stream_id", "mainGroupCode"]).select(
-        "*", F.posexplode("detail.groups").alias("group_no", "departure")
+def departures(lines: DataFrame) -> DataFrame:
+    """Step 2 with its entries of step 1, one row per group departure; a code given twice keeps its last entry.
+
+    A stream's last events of both steps become one row, so its lines are read
+    and dealt once; the steps meet inside that row, not in a join.
+    """
+    first, second = F.col("step") == "step1", F.col("step") == "step2"
+    both = event_rows(lines).where(first | second).groupBy("stream_id").agg(
+        F.max_by(F.when(first, F.col("data")), F.when(first, F.col("line_no"))).alias("mains"),
+        F.max_by(F.when(second, F.struct("data", "scraped_at")), F.when(second, F.col("line_no"))).alias("details"),
     )
+    coded = F.filter(F.from_json("mains", MAINS), lambda m: F.coalesce(m["mainGroupCode"], F.lit("")) != "")
+    placed = F.sort_array(F.transform(coded, lambda m, i: F.struct(m["mainGroupCode"].alias("code"), i.alias("i"), m.alias("main"))))
+    both = both.select("stream_id", "details.scraped_at", F.from_json("details.data", DETAILS).alias("details"), placed.alias("placed"))
+    last = F.filter("placed", lambda x, i: (i == F.size("placed") - 1) | (x["code"] != F.get(F.col("placed"), i + 1)["code"]))
+    both = both.select("stream_id", "scraped_at", "details", F.map_from_entries(F.transform(last, lambda x: F.struct(x["code"], x["main"]))).alias("mains"))
+    rows = both.select("stream_id", "scraped_at", "mains", F.posexplode("details").alias("detail_no", "detail"))
+    named = rows.select("stream_id", "scraped_at", "detail_no", "detail", F.col("detail.mainGroupCode").alias("mainGroupCode"), F.try_element_at("mains", F.col("detail.mainGroupCode")).alias("main"))
+    return named.where("main IS NOT NULL").select("*", F.posexplode("detail.groups").alias("group_no", "departure"))
 
 
 def to_rows(joined: DataFrame, start, end) -> DataFrame:
@@ -122,7 +118,7 @@ def to_rows(joined: DataFrame, start, end) -> DataFrame:
 
 def parse(lines: DataFrame, start, end) -> DataFrame:
     """Quotes of complete streams. None in the window is normal, not a fault."""
-    rows = to_rows(departures(read_events(lines)), start, end)
+    rows = to_rows(departures(lines), start, end)
     return as_quotes(keep_cheapest(with_match_key(rows), MATCH_KEY), "row_ord")
 
 
