@@ -202,5 +202,6 @@ CSV_HEADERS = (
     "連結",
 )
 CSV_FRESH = "最新"
+CSV_MARK = "\ufeff"
 CSV_STALE = ("沿用 ", " 資料")
 DISPLAY_ZONE = "Asia/Taipei"

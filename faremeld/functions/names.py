@@ -58,7 +58,9 @@ def longest_alias(text: Column, aliases: dict[str, str]) -> Column:
 
 
 def match_alias(text: Column, aliases: dict[str, str]) -> Column:
-    return longest_alias(clean_text(text), aliases)
+    """As `longest_alias` of any text. Cleaning only changes white space, so aliases without any are found without it."""
+    plain = not any(c.isspace() for alias in aliases for c in alias)
+    return longest_alias(F.coalesce(text, F.lit("")) if plain else clean_text(text), aliases)
 
 
 def is_ascii(text: Column) -> Column:

@@ -112,6 +112,38 @@ def carry_rate_forward(rates: DataFrame, pair: str, day: str, rate: str) -> Data
     return rates.withColumns({"stale": F.col(rate).isNull() & carried.isNotNull(), rate: carried})
 
 
+def rate_as_of(rows: DataFrame, rates: DataFrame, pair: str, day: str, out: str = "rate") -> DataFrame:
+    """Each row with the last rate of its pair on or before its day, and that rate's day (`<out>_day`); null before the first.
+
+    `rates` has (pair, day, rate), with the pair and day named as in `rows`; of
+    several rates of one day the highest counts. Rates are grouped by month: a
+    month holds its own days, 31 at most, and what the months before it left.
+    Months without a rate repeat what was left, up to the last month asked for,
+    so rows meet rates by pair and month alone: no range join, and no sort of a
+    pair's rows. A null pair or day finds nothing.
+    """
+    daily = rates.where(F.col(pair).isNotNull() & F.col(day).isNotNull() & F.col("rate").isNotNull()).groupBy(pair, day).agg(F.max("rate").alias("rate"))
+    entry = F.struct(F.col(day).alias("day"), "rate")
+    months = daily.groupBy(pair, F.trunc(day, "month").alias("_month")).agg(F.sort_array(F.collect_list(entry)).alias("_days"))
+    # One row a month: a window here sees a calendar, not quotes.
+    in_turn = Window.partitionBy(pair).orderBy("_month")
+    horizon = rows.agg(F.trunc(F.max(day), "month")).scalar()
+    next_month = F.coalesce(F.lead("_month").over(in_turn), F.greatest(F.add_months(horizon, 1), F.add_months("_month", 1)))
+    months = months.select(pair, "_month", "_days", F.element_at(F.lag("_days").over(in_turn), -1).alias("_left"), next_month.alias("_next"))
+    covered = months.withColumn("_covers", F.explode(F.sequence("_month", F.add_months("_next", -1), F.expr("interval 1 month"))))
+    own = F.col("_covers") == F.col("_month")
+    covered = covered.select(
+        pair,
+        F.col("_covers").alias("_month"),
+        F.when(own, F.col("_days")).otherwise(F.array().cast(months.schema["_days"].dataType)).alias("_days"),
+        F.when(own, F.col("_left")).otherwise(F.element_at("_days", -1)).alias("_left"),
+    )
+    met = rows.withColumn("_month", F.trunc(day, "month")).join(covered, [pair, "_month"], "left")
+    before = F.filter("_days", lambda x: x["day"] <= F.col(day))
+    found = F.coalesce(F.try_element_at(before, F.lit(-1)), F.col("_left"))
+    return met.withColumn("_found", found).select(*rows.columns, F.col("_found.rate").alias(out), F.col("_found.day").alias(f"{out}_day"))
+
+
 def convert(price: Column, currency: Column, rate: Column) -> Column:
     """Whole TWD, half to even; null where it cannot be told."""
     code = F.upper(F.trim(F.coalesce(currency, F.lit(""))))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faremeld import fixed_values as fv
 from faremeld.functions.names import is_unmapped_ship
 from faremeld.functions.text import contains_any
 
+#: Names that a warning spells out.
+LISTED_NAMES = 100
+
 
 def is_blocked(html: Column, title: Column) -> Column:
     """The page is a bot-protection page, by its title or its markers."""
@@ -78,12 +83,31 @@ def unmapped_names(quotes: DataFrame, name: str = "ship_name") -> DataFrame:
     return quotes.select(name).distinct().where(is_unmapped_ship(F.col(name)))
 
 
-def unmapped_warning(names: DataFrame, name: str = "ship_name") -> DataFrame:
-    """The one warning text that lists them; no row when there are none."""
-    return (
-        names.agg(F.sort_array(F.collect_set(name)).alias("n"))
-        .where(F.size("n") > 0)
-        .select(F.concat(F.lit(fv.UNMAPPED_WARNING), F.array_join("n", fv.LIST_MARK)).alias("warning"))
+def unmapped_warning(names: DataFrame, name: str = "ship_name", listed: int = LISTED_NAMES) -> DataFrame:
+    """The one warning text that lists them; no row when there are none.
+
+    It names the first `listed` in order, and of more their number: the rest
+    are rows of `unmapped_rows`. So the text has a bound, and no task sees more.
+    """
+    first = names.select(F.col(name).alias("n")).orderBy("n").limit(listed + 1).agg(F.sort_array(F.collect_list("n")).alias("n"))
+    every = names.agg(F.count("*").alias("total"))
+    text = F.concat(F.lit(fv.UNMAPPED_WARNING), F.array_join(F.slice("n", 1, listed), fv.LIST_MARK))
+    more = F.when(F.size("n") > listed, F.concat(F.lit("… ("), F.col("total").cast("string"), F.lit(")"))).otherwise("")
+    return first.withColumn("total", every.scalar()).where(F.size("n") > 0).select(F.concat(text, more).alias("warning"))
+
+
+def unmapped_rows(quotes: DataFrame, run_id: Column, name: str = "ship_name") -> DataFrame:
+    """(ship_name, source, quotes, first_run, last_run): which names lack an English form, and where they come from."""
+    found = quotes.groupBy(name, "source").agg(F.count("*").alias("quotes")).where(is_unmapped_ship(F.col(name)))
+    run = run_id.cast("bigint")
+    return found.select(F.col(name).alias("ship_name"), "source", "quotes", run.alias("first_run"), run.alias("last_run"))
+
+
+def merge_unmapped(*runs: DataFrame) -> DataFrame:
+    """The rows of several runs as one: the quotes of the last run that had the name, its first and its last run."""
+    rows = reduce(DataFrame.unionByName, runs)
+    return rows.groupBy("ship_name", "source").agg(
+        F.max_by("quotes", "last_run").alias("quotes"), F.min("first_run").alias("first_run"), F.max("last_run").alias("last_run")
     )
 
 

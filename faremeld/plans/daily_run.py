@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from faremeld import fixed_values as fv
 from faremeld.operators.fx import resolve_rate
 from faremeld.operators.merge import as_previous, as_published, merge_run
-from faremeld.operators.ordering import in_output_order
-from faremeld.operators.quality import run_report, run_totals, unmapped_names, unmapped_warning
+from faremeld.operators.quality import merge_unmapped, run_report, run_totals, unmapped_names, unmapped_rows, unmapped_warning
 from faremeld.plans import publish, store
 from faremeld.schemas import FX, QUOTES, RUN_STATUS
 from faremeld.sources.registry import Source, default_sources, select_sources
@@ -144,7 +143,7 @@ def run(
         merged = spark.read.parquet(table)
 
     report = run_report(status, current)
-    warnings = [r["warning"] for r in unmapped_warning(unmapped_names(merged)).collect()]
+    warnings = [r["warning"] for r in unmapped_warning(unmapped_names(merged)).collect()]  # one text of bounded length
     all_failed = run_totals(report).first()["all_failed"]
     result = RunResult(merged, report, rate, warnings, all_failed)
     if not dry_run:
@@ -163,11 +162,21 @@ def write_outputs(spark: SparkSession, result: RunResult, out: str, day: date) -
     count = F.lit(result.quotes.count())
     head = publish.envelope_head(result.report, rate, warnings, now, count)
     publish.write_json(result.quotes, head, f"{out}/data/deals.json")
-    publish.write_csv(in_output_order(result.quotes), f"{out}/data/deals.csv")
+    publish.write_csv(result.quotes, f"{out}/data/deals.csv")
     history = f"{out}/data/history"
     newest = store.newest_before(store.commits(spark, history)).select("run_id").first()
+    run_id = newest["run_id"] + 1 if newest else 0
+    write_unmapped(spark, result.quotes, run_id, f"{out}/data/unmapped")
     told = spark.createDataFrame([(w,) for w in result.warnings], "warning string")
-    store.publish(result.quotes, history, newest["run_id"] + 1 if newest else 0, F.lit(day), result.report, told, result.rate)
+    store.publish(result.quotes, history, run_id, F.lit(day), result.report, told, result.rate)
+
+
+def write_unmapped(spark: SparkSession, quotes: DataFrame, run_id: int, path: str) -> None:
+    """Adds a run's unmapped names to those of the runs before, as a table of its own per run."""
+    rows = [unmapped_rows(quotes, F.lit(run_id))]
+    if run_id:
+        rows.append(spark.read.parquet(f"{path}/run={run_id - 1}"))
+    merge_unmapped(*rows).write.mode("overwrite").parquet(f"{path}/run={run_id}")
 
 
 def latest_published(spark: SparkSession, out: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from faremeld import fixed_values as fv
 from faremeld.functions.money import plain_number
 from faremeld.operators.fx import amount
 from faremeld.plans.serving import csv_columns
@@ -74,6 +75,11 @@ def envelope_head(report: DataFrame, rate: Column, warnings: Column, generated_a
     return head.select(F.concat(open_end, F.lit(',"deals":[')).alias("value"))
 
 
+def place_of(tie: str = "first_seen") -> Column:
+    """What the published order sorts by, as one value."""
+    return F.struct("sail_date", amount().isNull().alias("unpriced"), amount().alias("amount"), F.col(tie).alias("tie"))
+
+
 def json_lines(quotes: DataFrame, head: DataFrame, tie: str = "first_seen") -> DataFrame:
     """The whole document as ordered text lines: head, one per quote, end.
 
@@ -81,9 +87,7 @@ def json_lines(quotes: DataFrame, head: DataFrame, tie: str = "first_seen") -> D
     written by many tasks; its part files, joined in name order, are the
     document. No task ever holds all quotes.
     """
-    place = F.struct(
-        "sail_date", amount().isNull().alias("unpriced"), amount().alias("amount"), F.col(tie).alias("tie")
-    )
+    place = place_of(tie)
     first = quotes.agg(F.min(place)).scalar()
     comma = F.when(F.col("_place").eqNullSafe(first), "").otherwise(",")
     rows = quotes.withColumn("_place", place).select(
@@ -99,9 +103,20 @@ def write_json(quotes: DataFrame, head: DataFrame, path: str) -> None:
     json_lines(quotes, head).write.mode("overwrite").text(path)
 
 
-def write_csv(quotes_in_order: DataFrame, path: str) -> None:
-    """CSV parts in output order, each with the header behind a UTF-8 mark."""
-    table = csv_columns(quotes_in_order)
-    first = table.columns[0]
-    table = table.withColumnRenamed(first, "﻿" + first)
-    table.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+def csv_lines(quotes: DataFrame, tie: str = "first_seen") -> DataFrame:
+    """The whole CSV as ordered text lines: a UTF-8 mark and the header, then one per quote.
+
+    Like the JSON document, it is range partitioned and written by many tasks;
+    its part files, joined in name order, are the file, so the mark and the
+    header stand in the first of them alone.
+    """
+    table = csv_columns(quotes.withColumn("_place", place_of(tie)), "_place")
+    line = F.to_csv(F.struct(*[F.col(h) for h in fv.CSV_HEADERS]), {"emptyValue": "", "escape": '"'})
+    rows = table.select(F.lit(1).alias("section"), "_place", line.alias("value"))
+    nothing = F.lit(None).cast(rows.schema["_place"].dataType)
+    head = quotes.sparkSession.range(1).select(F.lit(0).alias("section"), nothing.alias("_place"), F.lit(fv.CSV_MARK + ",".join(fv.CSV_HEADERS)).alias("value"))
+    return head.unionByName(rows).orderBy("section", "_place").select("value")
+
+
+def write_csv(quotes: DataFrame, path: str) -> None:
+    csv_lines(quotes).write.mode("overwrite").text(path)

@@ -29,8 +29,8 @@ def others_text(others: Column) -> Column:
     return F.array_join(parts, "; ")
 
 
-def csv_columns(quotes: DataFrame) -> DataFrame:
-    """The 16 exported columns, all text, '' for missing values."""
+def csv_columns(quotes: DataFrame, *extra: str) -> DataFrame:
+    """The 16 exported columns, all text, '' for missing values, and the columns in `extra`."""
     stale = F.concat(
         F.lit(fv.CSV_STALE[0]), F.date_format("stale_since", "yyyy-MM-dd"), F.lit(fv.CSV_STALE[1])
     )
@@ -53,7 +53,7 @@ def csv_columns(quotes: DataFrame) -> DataFrame:
         F.col("detail_url"),
     ]
     return quotes.select(
-        *[F.coalesce(v, F.lit("")).alias(h) for v, h in zip(values, fv.CSV_HEADERS, strict=True)]
+        *[F.coalesce(v, F.lit("")).alias(h) for v, h in zip(values, fv.CSV_HEADERS, strict=True)], *extra
     )
 
 

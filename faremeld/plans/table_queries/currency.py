@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from faremeld import fixed_values as fv
 from faremeld.functions.money import plain_number
-from faremeld.operators.fx import apply_rate, carry_rate_forward, convert, first_valid_rate, provider_rates, requote
+from faremeld.operators.fx import apply_rate, carry_rate_forward, convert, first_valid_rate, provider_rates, rate_as_of, requote, resolve_rate
 from faremeld.plans.publish import rate_columns
 from faremeld.plans.table_queries.feeds import FEED_SQL, RATE, quote_feed, raw_table, table
 from faremeld.plans.table_queries.registry import query
@@ -201,3 +201,62 @@ def convert_by_currency(spark, sf_dir):
         F.min("twd").cast("string").alias("lowest"),
         F.max("twd").cast("string").alias("highest"),
     )
+
+
+# ---- dated rates
+
+
+@query(
+    "rate_as_of",
+    """
+WITH rates AS (
+  SELECT o_custkey % 7 AS pair, CAST(o_orderdate AS DATE) AS day, max(CAST(o_totalprice AS DECIMAL(18,2))) AS rate
+  FROM orders WHERE o_orderdate >= '1993-01-01' AND (o_custkey % 7 <> 3 OR month(o_orderdate) IN (2, 3, 9)) GROUP BY ALL
+), quotes AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey % 8 AS pair, CAST(l_shipdate AS DATE) AS day FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, pair, CAST(rate AS VARCHAR) AS rate, CAST(rates.day AS VARCHAR) AS rate_day
+FROM quotes ASOF LEFT JOIN rates USING (pair, day)""",
+)
+def dated_rates(spark, sf_dir):
+    """Every line with the last known rate of its pair: one pair has rates in three months a year, one has none."""
+    kept = (F.col("pair") != 3) | F.month("day").isin(2, 3, 9)
+    orders = table(spark, sf_dir, "orders").where("o_orderdate >= '1993-01-01'")
+    rates = orders.select((F.col("o_custkey") % 7).alias("pair"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(18,2)").alias("rate")).where(kept)
+    quotes = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_suppkey") % 8).alias("pair"), F.to_date("l_shipdate").alias("day"))
+    return rate_as_of(quotes, rates, "pair", "day").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "pair", F.col("rate").cast("string").alias("rate"), F.col("rate_day").cast("string").alias("rate_day")
+    )
+
+
+@query(
+    "rate_resolution",
+    """
+WITH dearest AS (SELECT o_orderpriority AS kind, max(CAST(o_totalprice AS DECIMAL(18,2))) AS top FROM orders GROUP BY ALL)
+SELECT kind, CASE substr(kind, 1, 1) WHEN '1' THEN '32.5' WHEN '2' THEN rtrim(rtrim(CAST(top AS VARCHAR), '0'), '.') WHEN '3' THEN rtrim(rtrim(CAST(top + 1 AS VARCHAR), '0'), '.')
+    WHEN '4' THEN rtrim(rtrim(CAST(top AS VARCHAR), '0'), '.') END AS usd_twd,
+  CASE substr(kind, 1, 1) WHEN '1' THEN 'manual' WHEN '2' THEN 'primary' WHEN '3' THEN 'previous' WHEN '4' THEN 'primary' END AS via,
+  substr(kind, 1, 1) = '3' AS stale
+FROM dearest""",
+)
+def order_of_rates(spark, sf_dir):
+    """Which rate a run takes: the given one, else a fetched one, else the last published one as stale, else none.
+
+    The cases are the order priorities, each with the dearest order as its rate:
+    a given rate over all others; a fetched over a published one; a published
+    one where the payload is no success; a text for a given rate that is no
+    number; nothing at all.
+    """
+    rows = None
+    for kind in [r["kind"] for r in table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("kind")).distinct().collect()]:  # the five priorities
+        top = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == kind).agg(F.max(F.col("o_totalprice").cast("decimal(18,2)")).alias("top"))
+        case = kind[0]
+        result = "success" if case in "124" else "error"
+        payload = F.concat(F.lit(f'{{"result":"{result}","time_last_update_utc":"Mon, 17 Aug 2026 00:00:01 +0000","rates":{{"TWD":'), F.col("top").cast("string"), F.lit("}}"))
+        payloads = top.select(F.lit(fv.FX_PRIMARY).alias("provider"), payload.alias("payload"))
+        old = top.select((F.col("top") + 1).cast("decimal(18,8)").alias("usd_twd"), F.lit("2026-08-16").cast("date").alias("as_of"), F.lit("previous").alias("source"), F.lit(False).alias("stale"))
+        chosen = resolve_rate(spark, {"1": "32.5", "4": "many"}.get(case), payloads, None if case == "5" else old)
+        via = F.when(F.col("source") == fv.FX_MANUAL, "manual").when(F.col("source") == fv.FX_PRIMARY, "primary").otherwise(F.col("source"))
+        found = chosen.select(F.struct(plain_number(F.col("usd_twd")).alias("usd_twd"), via.alias("via"), "stale"))
+        given = spark.range(1).select(F.lit(kind).alias("kind"), found.scalar().alias("r"))
+        given = given.select("kind", "r.usd_twd", "r.via", F.coalesce("r.stale", F.lit(False)).alias("stale"))
+        rows = given if rows is None else rows.unionByName(given)
+    return rows

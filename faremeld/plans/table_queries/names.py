@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faremeld.functions import names
-from faremeld.operators.quality import unmapped_names, unmapped_warning
+from faremeld.operators.quality import merge_unmapped, unmapped_names, unmapped_rows, unmapped_warning
 from faremeld.plans.table_queries.feeds import raw_table, table
 from faremeld.plans.table_queries.registry import query
 from faremeld.sources.itinerary_api import look_up
@@ -142,6 +142,18 @@ def warning(spark, sf_dir):
     return unmapped_warning(unmapped(spark, sf_dir))
 
 
+@query(
+    "unmapped_rows",
+    f"""WITH {_PICK_SQL}, s AS (SELECT '魔都號' || p_size AS ship_name, p_brand AS source, p_partkey % 2 AS run FROM named WHERE form = 3)
+SELECT ship_name, source, count(*) FILTER (run = latest) AS quotes, min(run) AS first_run, max(run) AS last_run
+FROM (SELECT *, max(run) OVER (PARTITION BY ship_name, source) AS latest FROM s) GROUP BY ship_name, source""",
+)
+def unmapped_by_source(spark, sf_dir):
+    """Unmapped names with their source and count, merged over two runs: parts of even and of odd keys."""
+    rows = names.with_ship_and_line(_titles(spark, sf_dir), "title").join(table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("source")), "p_partkey")
+    return merge_unmapped(*[unmapped_rows(rows.where(F.col("p_partkey") % 2 == i), F.lit(i)) for i in (0, 1)])
+
+
 @query(
     "itinerary_ports",
     """

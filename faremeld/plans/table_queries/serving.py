@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from faremeld.functions.money import plain_number
 from faremeld.operators.fx import apply_rate
 from faremeld.plans import serving
-from faremeld.plans.publish import record_json
+from faremeld.plans.publish import record_json, write_csv
 from faremeld.plans.table_queries.feeds import FEED_SQL, RATE, quote_feed, table
 from faremeld.plans.table_queries.merging import MERGED_FEED_SQL, merged_feed
 from faremeld.plans.table_queries.registry import query
+from faremeld.session import ensure_checkpoint_dir
+from faremeld.sources.published import read_csv
 
 
 def thousands(expr: str) -> str:
@@ -18,8 +22,7 @@ def thousands(expr: str) -> str:
     return f"format('{{:,}}', CAST({expr} AS BIGINT))"
 
 
-@query(
-    "csv_projection",
+_CSV_SQL = (
     MERGED_FEED_SQL
     + """
 SELECT CAST(sail_date AS VARCHAR) AS "出發日期", depart_port AS "出發港口", arrive_port AS "目的港口", ship_name AS "郵輪名",
@@ -35,12 +38,24 @@ SELECT CAST(sail_date AS VARCHAR) AS "出發日期", depart_port AS "出發港
       WHEN split_part(q, ':', 4) <> '-' THEN 'NT$' || split_part(q, ':', 4)
       ELSE split_part(q, ':', 3) || ' ' || split_part(q, ':', 2) END), '; '), '') AS "其他來源報價",
   '最新' AS "資料狀態", '' AS "連結"
-FROM best""",
+FROM best"""
 )
+
+
+@query("csv_projection", _CSV_SQL)
 def csv_projection(spark, sf_dir):
     return serving.csv_columns(merged_feed(spark, sf_dir))
 
 
+@query("csv_round_trip", _CSV_SQL)
+def csv_round_trip(spark, sf_dir):
+    """The merged feed written as one CSV in parts, and read back from it."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/csv-{uuid.uuid4().hex}"
+    write_csv(merged_feed(spark, sf_dir), path)
+    return read_csv(spark, path)
+
+
 @query(
     "summary_stats",
     MERGED_FEED_SQL

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
+from faremeld import fixed_values as fv
 from faremeld.functions.dates import parse_iso_date
 from faremeld.schemas import FX, OTHER_SOURCES, PRICE, PUBLISHED, PUBLISHED_DEAL, QUOTE_FIELDS, QUOTES, RATE, as_quotes
 
@@ -157,6 +158,15 @@ def read_previous(spark: SparkSession, path: str) -> DataFrame:
     return all_or_nothing(decode(deals_of(envelopes)))
 
 
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a CSV that `write_csv` wrote in parts, all text, '' for missing values."""
+    schema = ", ".join(f"`{h}` string" for h in fv.CSV_HEADERS)
+    rows = spark.read.schema(schema).option("multiLine", True).option("escape", '"').csv(path)
+    first = fv.CSV_HEADERS[0]
+    kept = rows.where(~F.coalesce(F.col(first), F.lit("")).isin(first, fv.CSV_MARK + first))
+    return kept.select(*[F.coalesce(F.col(h), F.lit("")).alias(h) for h in fv.CSV_HEADERS])
+
+
 def decode_rate(envelopes: DataFrame) -> DataFrame:
     """The rate an envelope holds; none when it is missing or unreadable."""
     return (

@@ -11,7 +11,7 @@ from faremeld.functions.names import with_match_key
 from faremeld.operators.dedupe import best_quotes, keep_cheapest, keep_last
 from faremeld.operators.merge import merge_run
 from faremeld.operators.ordering import in_output_order, previous_in_order, sort_numeric, sort_text, with_position
-from faremeld.operators.quality import run_report, run_totals, unmapped_names, unmapped_warning
+from faremeld.operators.quality import merge_unmapped, run_report, run_totals, unmapped_names, unmapped_rows, unmapped_warning
 from faremeld.schemas import RUN_STATUS, as_quotes
 
 RATE = "32"
@@ -268,6 +268,15 @@ def test_unmapped_warning(spark):
     df = quotes_df(spark, [quote(ship_name="愛達魔都號"), quote(ship_name="愛達魔都號"), quote()])
     assert [r.warning for r in unmapped_warning(unmapped_names(df)).collect()] == ["這些船名沒有英文對照，無法跨來源比價：愛達魔都號"]
     assert unmapped_warning(unmapped_names(quotes_df(spark, [quote()]))).collect() == []
+    many = quotes_df(spark, [quote(ship_name=f"愛達{i}") for i in range(5)] * 2)
+    assert unmapped_warning(unmapped_names(many), listed=2).first().warning == "這些船名沒有英文對照，無法跨來源比價：愛達0、愛達1… (5)"
+
+
+def test_unmapped_rows_over_runs(spark):
+    first = unmapped_rows(quotes_df(spark, [quote(ship_name="愛達魔都號")] * 3 + [quote(), quote(ship_name="愛達", source="bwt")]), F.lit(0))
+    second = unmapped_rows(quotes_df(spark, [quote(ship_name="愛達魔都號"), quote(ship_name="愛達魔都號", source="bwt")]), F.lit(1))
+    got = sorted(tuple(r) for r in merge_unmapped(first, second).collect())
+    assert got == [("愛達", "bwt", 1, 0, 0), ("愛達魔都號", "bwt", 1, 1, 1), ("愛達魔都號", "icruise", 1, 0, 1)]
 
 
 def test_null_keys_keep_their_rows(spark):

@@ -18,7 +18,7 @@ from faremeld.operators.history import price_changes
 from faremeld.plans import publish, serving, store
 from faremeld.plans.daily_run import run, run_sources
 from faremeld.schemas import FX, RUN_STATUS
-from faremeld.sources.published import read_previous, read_previous_rate, read_snapshots
+from faremeld.sources.published import read_csv, read_previous, read_previous_rate, read_snapshots
 from faremeld.sources.registry import Source
 from faremeld.streaming.daily_stream import land_run, merge_stream
 
@@ -320,6 +320,28 @@ def test_serving_views(spark):
     assert shown[0].note == "per guest, taxes extra（1 USD = 32 TWD）"
 
 
+def test_csv_in_parts_has_one_header(spark, tmp_path):
+    rows = [quote(sail_date=date(2026, 8, 1 + i % 28), ship_name=f"Ship {i}", price=str(100 + i)) for i in range(40)]
+    rows[3].update(price_note='say "from", or\nso', ship_name="=1+1, x", price=None)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    path = str(tmp_path / "c")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "6")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        publish.write_csv(quotes_df(spark, rows).withColumn("first_seen", F.col("row_ord")), path)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len([p for p in glob.glob(f"{path}/part-*") if os.path.getsize(p)]) >= 4
+    text = text_of(path)
+    assert text.count("出發日期") == 1 and text.startswith("\ufeff出發日期,")
+    assert '"say ""from"", or\nso"' in text
+    back = read_csv(spark, path).collect()
+    assert {r["郵輪名"] for r in back} == {r["ship_name"] for r in rows} and len(back) == 40
+    odd = next(r for r in back if r["郵輪名"] == "=1+1, x")
+    assert odd["價格說明"] == 'say "from", or\nso' and odd["最低價格"] == ""
+
+
 def test_document_without_rate_or_rows(spark, tmp_path):
     report = spark.createDataFrame([], RUN_STATUS).withColumn("count", F.lit(0))
     nothing = F.lit(None)

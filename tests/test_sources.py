@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faremeld.operators.fx import (
+    rate_as_of,
     carry_rate_forward,
     convert,
     provider_rates,
@@ -427,3 +428,16 @@ def test_html_tree():
     assert [n.text() for n in page.find_all("ul li")] == ["1", "2"]
     assert html_tree.attr_at(page, "a[href]", "href") == "/q?a=1&b" and html_tree.attr_at(page, "a[title*=b]", "title") == "a > b"
     assert html_tree.text_at(page, "h1") is None and html_tree.parse("").text() == "" and html_tree.parse("a < b").text() == "a < b"
+
+
+# --- dated rates ----------------------------------------------------------------------
+
+
+def test_rates_as_of_a_day(spark):
+    day = lambda text: date.fromisoformat(text)
+    rates = spark.createDataFrame([("a", day("2026-01-10"), 1.0), ("a", day("2026-01-31"), 2.0), ("a", day("2026-01-31"), 1.5), ("a", day("2026-04-05"), 3.0), ("b", day("2027-01-01"), 9.0), (None, day("2026-01-01"), 8.0), ("c", day("2026-01-01"), None)], "p string, d date, rate double")
+    asked = [("a", "2026-01-09", None), ("a", "2026-01-10", 1.0), ("a", "2026-01-30", 1.0), ("a", "2026-01-31", 2.0), ("a", "2026-02-01", 2.0), ("a", "2026-03-31", 2.0), ("a", "2026-04-04", 2.0), ("a", "2026-04-05", 3.0), ("a", "2028-12-31", 3.0), ("b", "2026-12-31", None), ("c", "2026-06-01", None), (None, "2026-06-01", None), ("a", None, None)]
+    rows = spark.createDataFrame([(i, p, d and day(d)) for i, (p, d, _) in enumerate(asked)], "i int, p string, d date")
+    got = [r.rate for r in rate_as_of(rows, rates, "p", "d").orderBy("i").collect()]
+    assert got == [want for *_, want in asked]
+    assert rate_as_of(rows, rates.limit(0), "p", "d").where("rate IS NOT NULL").count() == 0 and rate_as_of(rows.limit(0), rates, "p", "d").count() == 0
