@@ -32,7 +32,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to `documents`; each is written to the shared folder and read back by the next."""
+    """Applies the stages to `documents`; each is written to the shared folder and read back by the next.
+
+    Null, empty and letterless texts have no language and go; rows without a
+    doc_id are compared with none and stay. Of near copies the smallest doc_id
+    stays, with all its rows; ties and repeated rows are rows like others. Very long texts are taken whole. Extra columns go through
+    all stages but the last, whatever they are called. An empty table, or one
+    of which nothing is kept, gives no rows.
+    """
     docs, where = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{where}/{name}")

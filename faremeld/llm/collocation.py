@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,8 @@ from faremeld.llm.common import discard, settle, table
 
 #: Least count of a phrase, share of a phrase's occurrences that a longer one must have to replace it, rows returned a language.
 LEAST, COVERED, TOP = 10, 50, 2000
-#: Occurrences that one group of prefixes may hold, and the groups at most; with more text, groups grow.
-BUDGET, GROUPS = 1 << 18, 1 << 20
+#: Groups of prefixes to begin with, and the occurrences that one may hold: with more text first groups grow, then their number.
+GROUPS, BUDGET = 1 << 9, 1 << 22
 #: Bits of the fixed map that tells which words are frequent; words outside it begin and continue no phrase.
 MAP_BITS = 1 << 24
 #: Distinct words and suffixes that a task holds before it hands them on.
@@ -36,32 +37,35 @@ def words_of(text: str) -> list[bytes]:
 
 
 class Numbers(dict):
-    """Numbers the words of one language as they come, 0 outside the map; `hashes` is all languages' list of word hashes by number."""
+    """Numbers the words of one language as they come, 0 outside the map; the task's `held` keeps each number's hash."""
 
-    def __init__(self, lang: str, seed: int, packed: np.ndarray | None, hashes: list[int]) -> None:
+    def __init__(self, lang: str, held: Held) -> None:
         super().__init__()
-        self.start, self.seed, self.packed, self.hashes = lang.encode() + b"\0", seed, packed, hashes
+        self.start, self.held = lang.encode() + b"\0", held
         self[_END] = 0
 
     def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(self.start + word, self.seed) or 1
-        if self.packed is not None and not int(self.packed[h % MAP_BITS >> 5]) >> (h & 31) & 1:
+        held = self.held
+        h = xxhash.xxh64_intdigest(self.start + word, held.seed) or 1
+        if held.packed is not None and not int(held.packed[h % MAP_BITS >> 5]) >> (h & 31) & 1:
             return 0  # rare, so not worth the memory
-        self[word] = number = len(self.hashes)
-        self.hashes.append(h)
+        self[word] = number = len(held.hashes)
+        held.hashes.append(h)
+        held.wanted.append(h in held.first)
         return number
 
 
 class Held:
-    """The words that a task has numbered, until it hands its counts on."""
+    """The words that a task has numbered, until it hands its counts on; `wanted` tells those of `first`."""
 
-    def __init__(self, seed: int, packed: np.ndarray | None) -> None:
+    def __init__(self, seed: int, packed: np.ndarray | None, first: np.ndarray | None = None) -> None:
         self.seed, self.packed = seed, packed
+        self.first = frozenset(() if first is None else first.view(np.uint64).tolist())
         self.clear()
 
     def clear(self) -> None:
         self.langs: dict[str, Numbers] = {}
-        self.hashes = [0]
+        self.hashes, self.wanted = array("Q", [0]), bytearray(1)
 
     def full(self) -> bool:
         return sum(map(len, self.langs.values())) > HELD_WORDS
@@ -69,6 +73,9 @@ class Held:
     def named(self) -> np.ndarray:
         return np.array(self.hashes, np.uint64).view(np.int64)
 
+    def only_wanted(self, numbers: np.ndarray) -> np.ndarray:
+        return np.where(np.frombuffer(self.wanted, np.bool_)[numbers], numbers, 0)
+
     def numbered(self, batch: pd.DataFrame) -> Iterator[np.ndarray]:
         """The numbers of the batch's words in pieces of STRETCH, each with the two that follow; 0 ends a text's piece."""
         for lang, part in batch.groupby("lang"):
@@ -81,7 +88,7 @@ class Held:
                     now = waiting[: STRETCH + 2]
                     numbers = self.langs.get(lang)
                     if numbers is None:
-                        numbers = self.langs[lang] = Numbers(lang, self.seed, self.packed, self.hashes)
+                        numbers = self.langs[lang] = Numbers(lang, self)
                     found = np.zeros(min(len(waiting), STRETCH) + 2, np.int64)
                     found[: len(now)] = np.fromiter(map(numbers.__getitem__, now), np.int64, len(now))
                     del waiting[:STRETCH]
@@ -146,7 +153,7 @@ def suffixes(docs: DataFrame, seed: int, packed: np.ndarray, first: np.ndarray |
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = Held(seed, packed)
+        held = Held(seed, packed, first)
         keys, counts, size = [], [], 0
 
         def flushed() -> Iterator[pd.DataFrame]:
@@ -165,7 +172,7 @@ def suffixes(docs: DataFrame, seed: int, packed: np.ndarray, first: np.ndarray |
                 if first is None:
                     c = np.where(b == 0, 0, c)
                 else:
-                    a, c = np.where(np.isin(held.named(), first)[a], a, 0), np.zeros_like(c)
+                    a, c = held.only_wanted(a), np.zeros_like(c)
                 key, n = np.unique((a << 42 | b << 21 | c)[a > 0], return_counts=True)  # three numbers of 21 bits
                 if len(key):
                     keys.append(key)
@@ -293,7 +300,7 @@ def dealt_to_groups(found: DataFrame, groups: Groups) -> DataFrame:
     return found.mapInPandas(run, "h1 long, h2 long, h3 long, n long, group long")
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET, groups: int = GROUPS) -> tuple[DataFrame, DataFrame]:
     """(words, phrases): (lang, word, h, n) of all words, and (h1, h2, h3, n) of the phrases of two and three words with n >= `least`.
 
     Hashes name words in between. A seed under which a frequent word shares its
@@ -308,11 +315,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) ->
         raise RuntimeError("no seed keeps the frequent words' hashes apart")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     packed = frequent_map(words, least)
-    groups = Groups(docs, words, seed, packed, least, max(budget, total // GROUPS))
-    return words, settle(subtrees(dealt_to_groups(suffixes(docs, seed, packed), groups), groups, least))
+    parts = Groups(docs, words, seed, packed, least, max(1, min(budget, total // groups)))
+    return words, settle(subtrees(dealt_to_groups(suffixes(docs, seed, packed), parts), parts, least))
 
 
-def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, top: int = TOP, budget: int = BUDGET) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, top: int = TOP, budget: int = BUDGET, groups: int = GROUPS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the phrases of two and three words that hold together most, by language.
 
     A phrase is as strong as its weakest cut: a * a / (l * r) in millionths, in
@@ -321,7 +328,7 @@ def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, to
     Null text is empty, null lang is `und`; doc_id and other columns are not
     read, so repeated rows count each time. No text, no rows.
     """
-    words, phrases = phrase_counts(docs, least, budget)
+    words, phrases = phrase_counts(docs, least, budget, groups)
     named = words.where(F.col("n") >= least)
     single = [named.select(F.col("h").alias(f"h{i}"), F.col("word").alias(f"w{i}"), F.col("n").alias(f"n{i}"), *(["lang"] if i == 1 else [])) for i in (1, 2, 3)]
     both = phrases.where("h3 = 0").drop("h3")

@@ -33,7 +33,7 @@ def water_fill(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
     rows = nodes.where("weight > 0").withColumns(wide).withColumn("_ratio", F.expr("CAST(supply AS double) / CAST(weight AS double)"))
     rows = rows.withColumns({
         "_left": F.col("total") - F.coalesce(F.sum("supply").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "_weights": F.sum("weight").over(up.rowsBetween(0, Window.unboundedFollowing)),
+        "_weights": F.sum("weight").over(by) - F.coalesce(F.sum("weight").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     }).withColumn("_short", F.expr("CAST(_left AS double) * CAST(weight AS double) >= CAST(supply AS double) * CAST(_weights AS double)"))
     # all from the first that is not short share alike what is left there
     start = F.min(F.when(~F.col("_short"), F.struct("_ratio", name, "_left", "_weights"))).over(by)

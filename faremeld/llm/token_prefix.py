@@ -19,17 +19,37 @@ from faremeld.llm.common import chunks, settle, table
 from faremeld.llm.word_ids import PLAIN, VOCABULARY, byte_letters
 
 LIMIT = 2048
-#: Distinct items and pairs of tokens that a task remembers before it starts anew.
-REMEMBERED = 250_000
+#: Items, pre-tokens and pairs of tokens of a generation that a worker remembers.
+REMEMBERED = 200_000
 
 # The vocabulary's contractions; each is a pre-token of its own.
 SHORT, PAIRS = "stmd", {"r": "e", "v": "e", "l": "l"}
 
 
+#: Marks that form a pre-token of their own after a word.
+MARKS = ".,;:!?$&*%#()+-"
 #: Pre-tokens of printable ASCII text without quotes.
 ASCII_PARTS = re.compile("[A-Za-z]+|[0-9]|[^A-Za-z0-9 ]+")
 
 
+class Lately:
+    """Remembers what was asked for lately: two generations, of which the older goes when the younger is full."""
+
+    def __init__(self) -> None:
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        if (found := self.new.get(key)) is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.new) >= REMEMBERED:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+
 class Merges:
     """Which tokens can stand next to each other, by the vocabulary's own merges.
 
@@ -50,6 +70,13 @@ class Merges:
         self.final = {t.removesuffix(self.end) for t in model["vocab"] if t.endswith(self.end)}
         self.inner = {t for t in model["vocab"] if not t.endswith(self.end)}
         self.longest = max(map(len, self.inner | self.final))
+        #: The tokens by their letters from the last to the first; at their ends, 1 for inner, 2 for final, 3 for both.
+        self.ends: dict = {}
+        for token in self.inner | self.final:
+            node = self.ends
+            for letter in reversed(token):
+                node = node.setdefault(letter, {})
+            node[""] = token, (token in self.inner) + 2 * (token in self.final)
         #: For inner and final tokens: what each can follow, as far as asked.
         self.joins: tuple[dict, dict] = ({}, {})
         self.states: dict[str, tuple[str, int, int]] = {"": ("", 0, 0)}
@@ -65,44 +92,45 @@ class Merges:
             joins[left, right] = known
         return known
 
-    def state(self, prefix: str) -> tuple[str, int, int]:
-        """(last token, tokens, tokens if the pre-token ends here) of a prefix whose shorter ones are known.
+    def totals(self, symbols: str) -> list[int]:
+        """Tokens of each prefix of a pre-token, were it to end there.
 
-        Words that begin alike share these states.
+        `states` holds (last token, tokens, tokens if the pre-token ends here)
+        of prefixes; words that begin alike share them. Exactly one token can be
+        the last of a prefix: the one that fits the state before it.
         """
-        states, size = self.states, len(prefix)
-        first = max(0, size - self.longest)
-        known, tokens = self.joins[0], self.inner
-        for start in range(first, size):
-            token = prefix[start:]
-            if token in tokens:
-                last, count, _ = states[prefix[:start]]
-                fits = known.get((last, token))
-                if fits or fits is None and self.fits(last, token, False):
-                    break
-        inner = count + 1
-        known, tokens = self.joins[1], self.final
-        for start in range(first, size):
-            end = prefix[start:]
-            if end in tokens:
-                last, count, _ = states[prefix[:start]]
-                fits = known.get((last, end))
-                if fits or fits is None and self.fits(last, end, True):
-                    break
-        found = states[prefix] = token, inner, count + 1
-        return found
-
-    def totals(self, symbols: str) -> list[int]:
-        """Tokens of each prefix of a pre-token, were it to end there."""
-        states, known = self.states, len(symbols)
-        if len(states) >= 2 * REMEMBERED:
+        states, ends, known = self.states, self.ends, len(symbols)
+        if len(states) >= 3 * REMEMBERED:
             states.clear()
             states[""] = ("", 0, 0)
+        inner_joins, final_joins = self.joins
         while symbols[:known] not in states:
             known -= 1
+        before = [states[symbols[:at]] for at in range(known + 1)]
         for at in range(known + 1, len(symbols) + 1):
-            self.state(symbols[:at])
-        return [states[symbols[:at]][2] for at in range(1, len(symbols) + 1)]
+            inner = final = None
+            node, start = ends, at
+            while start and (node := node.get(symbols[start - 1])) is not None:
+                start -= 1
+                if "" in node:
+                    token, kind = node[""]
+                    last, count, _ = before[start]
+                    pair = last, token
+                    if inner is None and kind != 2:
+                        fits = inner_joins.get(pair)
+                        if fits or fits is None and self.fits(last, token, False):
+                            inner, counted = token, count + 1
+                            if final is not None:
+                                break
+                    if final is None and kind != 1:
+                        fits = final_joins.get(pair)
+                        if fits or fits is None and self.fits(last, token, True):
+                            final = count + 1
+                            if inner is not None:
+                                break
+            before.append((inner, counted, final))
+            states[symbols[:at]] = before[-1]
+        return [final for _, _, final in before[1:]]
 
 
 class Run:
@@ -207,7 +235,15 @@ class PrefixTable(dict):
         self.joining = {chr(int(d.split()[1], 16)) for c in map(chr, range(0x110000)) if (d := unicodedata.decomposition(c)) and d[0] != "<" and " " in d}
         self.joining |= set(map(chr, [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]))
         self.kinds: dict[str, str] = {}
-        self.words: dict[str, bytes] = {}
+        self.words, self.before = Lately(), {}
+
+    @classmethod
+    def of_worker(cls, vocabulary: str | None) -> PrefixTable:
+        """The table of this Python worker, which learns from all its tasks what each word's prefixes count."""
+        kept = getattr(cls, "_kept", None)
+        if kept is None or kept[0] != vocabulary:
+            cls._kept = kept = vocabulary, cls(vocabulary)
+        return kept[1]
 
     def symbols(self, text: str) -> str:
         return "".join([self.bytes[b] for b in text.encode()])
@@ -269,25 +305,31 @@ class PrefixTable(dict):
             else:
                 counts = self.merges.totals(self.symbols(letters))
                 counts = [counts[at - 1] for at in itertools.accumulate(len(letter.encode()) for letter in letters)]
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            found = self.words[letters] = array("b", map(sub, counts, [0, *counts])).tobytes()
+            found = array("b", map(sub, counts, [0, *counts])).tobytes()
+            self.words.put(letters, found)
         return found
 
     def __missing__(self, item: str) -> bytes:
         """Raises OverflowError if a change needs more than a byte. What follows a pre-token doesn't change its own counts."""
-        if m := PLAIN.fullmatch(item):
+        lower = item.lower()
+        if (found := self.before.get(item)) is not None:
+            pass
+        elif (found := self.words.get(core := lower.rstrip(MARKS))) is not None and core[-1].isalnum():
+            if marks := lower[len(core) :]:
+                found += self.pre_token(marks)
+        elif m := PLAIN.fullmatch(item):
             letters, marks = m.groups()
             found = self.pre_token(letters.lower())
             if marks:
                 found += self.pre_token(marks)
         elif item.isascii() and item.isprintable() and "'" not in item and "<|" not in item:
-            found = b"".join(map(self.pre_token, ASCII_PARTS.findall(item.lower())))
+            found = b"".join(map(self.pre_token, ASCII_PARTS.findall(lower)))
         else:
             counts = self.general(item)
             found = array("b", map(sub, counts, [0, *counts])).tobytes()
         if len(item) <= 64:
             if len(self) >= REMEMBERED:
+                self.before = dict(self)
                 self.clear()
             self[item] = found
         return found
@@ -317,7 +359,7 @@ def prefix_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = PrefixTable(vocabulary)
+        table = PrefixTable.of_worker(vocabulary)
         for batch in batches:
             ids, texts = batch["doc_id"].astype("Int64"), [t or "" for t in batch["text"]]
             for part in chunks(texts):
@@ -361,4 +403,6 @@ def op11_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of whole texts, and where a text over the limit is to be cut, from the stored prefix counts."""
     stored = settle(prefix_counts(table(spark, sf_dir, "documents")))
     over = F.col("n_tokens") > LIMIT
-    return stored.select("doc_id", "n_bytes", "n_tokens", over.alias("over_limit"), F.when(over, longest_prefix(LIMIT)).otherwise(F.col("n_chars")).alias("kept_chars"))
+    given = ["doc_id", "n_bytes", "n_tokens", over.alias("over_limit")]
+    cut = stored.where(over).select(*given, longest_prefix(LIMIT).alias("kept_chars"))
+    return cut.unionByName(stored.where(~over).select(*given, F.col("n_chars").alias("kept_chars")))

@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -304,6 +305,21 @@ def test_shortage_goes_to_siblings_first(spark):
     assert got == {"a": 10, "b": 290, "c": 300}
 
 
+def test_budgets_of_many_sources_take_linear_time(spark):
+    supplies = spark.range(40_000).select(F.lit("web").alias("domain"), F.lit("en").alias("lang"), F.format_string("s%05d", "id").alias("source"), (F.col("id") % 977 + 1).alias("tokens"))
+    began = time.monotonic()
+    got = mixing.leaf_budgets(supplies, 9_000_000, {"domain": {}, "lang": {}, "source": {}}, 1).agg(F.sum("budget"), F.max("budget"), F.count("*")).first()
+    assert time.monotonic() - began < 30
+    left, short = 9_000_000, [k % 977 + 1 for k in range(40_000)]
+    short.sort()
+    for i, supply in enumerate(short):
+        if supply * (len(short) - i) > left:
+            share = left // (len(short) - i)
+            break
+        left -= supply
+    assert tuple(got) == (sum(min(s, share) for s in short), share, 40_000)
+
+
 # ---- 7
 
 

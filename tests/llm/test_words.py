@@ -97,17 +97,17 @@ def phrase_rows():
     return rows + [(70 + i, "a a a a a a a a a a a a b", "xx") for i in range(3)]
 
 
-@pytest.mark.parametrize("budget", [collocation.BUDGET, 40])
-def test_phrases_match_sql(spark, edge, tmp_path, budget, monkeypatch):
+@pytest.mark.parametrize("groups", [1, 400])
+def test_phrases_match_sql(spark, edge, tmp_path, groups, monkeypatch):
     monkeypatch.setattr(collocation, "STRETCH", 50)
     monkeypatch.setattr(collocation, "HELD_SUFFIXES", 40)
     monkeypatch.setattr(collocation, "HELD_WORDS", 6)
     docs = edge.unionByName(table(spark, phrase_rows()))
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     want, columns = duck(collocation.oracle(), tmp_path)
-    got = collocation.collocations(spark.read.parquet(f"{tmp_path}/documents.parquet"), budget=budget).select(*columns)
+    got = collocation.collocations(spark.read.parquet(f"{tmp_path}/documents.parquet"), groups=groups).select(*columns)
     assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 50
-    if budget == collocation.BUDGET:
+    if groups == 1:
         assert collocation.collocations(docs.limit(0)).count() == 0
 
 
