@@ -149,21 +149,33 @@ def document_frequencies(docs: DataFrame, dimensions: int, orders: tuple[int, ..
 
 
 def sample_features(labelled: DataFrame, per_class: int, dimensions: int, orders: tuple[int, ...]) -> DataFrame:
-    """Features of at most `per_class` labelled rows of each language, those of the least hashes."""
-    at = (F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("at")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id"))
+    """Features of at most `per_class` labelled rows of each language, the different ones of the least hashes.
+
+    The hashes are counted by their first 16 bits, which tells where each
+    language's sample ends; only rows up to there are looked at. Rows that are
+    equal in all of doc_id, language and text come again only where different
+    ones are too few.
+    """
+    hashed = labelled.where(F.col("text").rlike(r"\p{L}")).withColumn("at", F.xxhash64("doc_id", "lang", "text")).withColumn("slice", F.shiftrightunsigned("at", 48))
+    slices = hashed.select("lang", "slice", "at").groupBy("lang", "slice").agg(F.count_distinct("at").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = slices.withColumn("before", before).where(F.col("before") < per_class).groupBy("lang").agg(F.max("slice").alias("last")).collect()
+    # one number for each language, of which the model holds a whole column of weights
+    last = F.create_map(*[F.lit(x) for row in ends for x in row])[F.col("lang")] if ends else F.lit(-1)
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = [ngram_counts(text, dimensions, orders) for text in batch["text"]]
-            out = batch[["doc_id", "lang", "at"]].copy()
+            out = batch[["doc_id", "lang", "at", "copies"]].copy()
             out["found"] = [f.astype(np.int32).tobytes() for f, _ in made]
             out["counts"] = [c.astype(np.int32).tobytes() for _, c in made]
             yield out[[len(f) > 0 for f, _ in made]]
 
-    # The rank limit cuts each task's rows before the shuffle; rows with equal hashes fill the sample like any others.
-    near = labelled.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text", at).withColumn("rank", rank).where(F.col("rank") <= per_class)
-    return near.mapInPandas(featurise, "doc_id long, lang string, at double, found binary, counts binary")
+    near = hashed.where(F.col("slice") <= last).groupBy("lang", "at").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"), F.count("*").alias("copies"))
+    made = near.mapInPandas(featurise, "doc_id long, lang string, at long, copies long, found binary, counts binary")
+    made = made.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(per_class)))))
+    order = Window.partitionBy("lang").orderBy("copy", F.shiftrightunsigned("at", 48), "at", "doc_id")
+    return made.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class)
 
 
 def fit(labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS, dimensions: int = DIMENSIONS, orders: tuple[int, ...] = ORDERS) -> Model:
@@ -180,7 +192,7 @@ def fit(labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS, dimensions: int
     if df:
         at = np.fromiter(df.keys(), np.int64)
         idf[at] = np.log((1 + rows) / (1 + np.fromiter(df.values(), np.float64))) + 1
-    sample = sample_features(labelled, per_class, dimensions, orders).orderBy("at", "doc_id", "lang").collect()
+    sample = sample_features(labelled, per_class, dimensions, orders).orderBy("copy", F.shiftrightunsigned("at", 48), "at", "doc_id", "lang").collect()
     classes = sorted({r["lang"] for r in sample})
     number = {c: i for i, c in enumerate(classes)}
     examples = []
