@@ -20,15 +20,17 @@ def snapshot_calendar(snapshots: DataFrame) -> DataFrame:
 
 
 def price_changes(
-    snapshots: DataFrame, key: list[str] = MATCH_KEY, price: str = "price_twd"
+    snapshots: DataFrame, key: list[str] = MATCH_KEY, price: str = "price_twd", calendar: DataFrame | None = None
 ) -> DataFrame:
     """What happened to each sailing between neighbouring snapshots.
 
     `change`: new, same, up, down, or requoted when a price came or went.
     `dropped`: the sailing is gone in the next snapshot. A snapshot holds a
     sailing at most once, so a window sees at most one row per snapshot.
+    `calendar` (as of `snapshot_calendar`, or of the store, whose commits know
+    it) saves reading the snapshots a second time for their days alone.
     """
-    calendar = snapshot_calendar(snapshots)
+    calendar = snapshot_calendar(snapshots) if calendar is None else calendar
     w = Window.partitionBy(*key).orderBy("snapshot_date")
     rows = snapshots.join(calendar, "snapshot_date").withColumns(
         {

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from faremeld.functions.money import plain_number
 from faremeld.functions.names import with_match_key
+from faremeld.operators.history import price_changes
 from faremeld.operators.merge import as_published
 from faremeld.operators.quality import run_report
 from faremeld.plans import store
@@ -163,6 +164,42 @@ def snapshot_series(spark, sf_dir):
     return rows.join(envelopes, "snapshot_date").select(F.col("snapshot_date").cast("string").alias("snapshot_date"), "source", "n", "n_priced", "total_twd", F.col("sources").cast("bigint").alias("sources"), "warning")
 
 
+@query(
+    "snapshot_changes",
+    f"""WITH {FEED_SQL}, {ALL_AS_ONE_RUN}, {merged_sql("placed")},
+snap AS (
+  SELECT k_ship, sail_date, nights, k_port, price_twd, DATE '2026-08-13' AS d FROM best WHERE nights = 3
+  UNION ALL SELECT k_ship, sail_date, nights, k_port, price_twd, DATE '2026-08-15' FROM best
+  UNION ALL SELECT k_ship, sail_date, nights, k_port, price_twd + CASE WHEN nights = 4 THEN 1 ELSE 0 END, DATE '2026-08-16' FROM best WHERE k_port = 'keelung'),
+cal AS (SELECT * FROM (VALUES (DATE '2026-08-13', NULL, DATE '2026-08-15'), (DATE '2026-08-15', DATE '2026-08-13', DATE '2026-08-16'), (DATE '2026-08-16', DATE '2026-08-15', NULL)) t(d, pd, nd)),
+seen AS (SELECT *, lag(d) OVER w AS sd, lag(price_twd) OVER w AS pp, lead(d) OVER w AS fd FROM snap JOIN cal USING (d) WINDOW w AS (PARTITION BY k_ship, sail_date, nights, k_port ORDER BY d))
+SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, CAST(nights AS BIGINT) AS nights, k_port, CAST(d AS VARCHAR) AS snapshot_date, CASE WHEN sd = pd THEN CAST(pp AS VARCHAR) END AS previous_price,
+  CASE WHEN sd IS NULL OR sd <> pd THEN 'new' WHEN price_twd IS NOT DISTINCT FROM pp THEN 'same' WHEN price_twd IS NULL OR pp IS NULL THEN 'requoted' WHEN price_twd > pp THEN 'up' ELSE 'down' END AS change,
+  nd IS NOT NULL AND (fd IS NULL OR fd <> nd) AS dropped
+FROM seen""",
+)
+def snapshot_changes(spark, sf_dir):
+    """What happened to each sailing between stored snapshots; the days come from the store's commits."""
+    path = _folder(spark, "changes")
+    as_published(merged_feed(spark, sf_dir)).write.parquet(f"{path}/merged")
+    merged = spark.read.parquet(f"{path}/merged")
+    report, told = run_report(_status(spark, RUNS[0]), merged), spark.createDataFrame([], "warning string")
+    dearer = with_match_key(merged).where("k_port = 'keelung'").withColumn("price_twd", F.expr("CAST(price_twd + IF(nights = 4, 1, 0) AS decimal(20,0))"))
+    for run_id, (day, quotes) in enumerate((("2026-08-13", merged.where("nights = 3")), ("2026-08-15", merged), ("2026-08-16", dearer))):
+        store.publish(quotes, path, run_id, F.lit(day).cast("date"), report, told, _rate(spark))
+    changes = price_changes(with_match_key(store.snapshots(spark, path)), calendar=store.calendar(spark, path))
+    return changes.select(
+        "k_ship",
+        F.col("sail_date").cast("string").alias("sail_date"),
+        F.col("nights").cast("bigint").alias("nights"),
+        "k_port",
+        F.col("snapshot_date").cast("string").alias("snapshot_date"),
+        F.col("previous_price").cast("string").alias("previous_price"),
+        "change",
+        "dropped",
+    )
+
+
 # ---- sources that fail
 
 
