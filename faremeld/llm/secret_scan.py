@@ -39,6 +39,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SCALE = 1 << 20
 
 SPAN = "struct<start:bigint,end:bigint,kind:int>"
+#: Matches whose lengths are added up together.
+BLOCK = 128
 
 
 def _quoted(text: str) -> str:
@@ -53,17 +55,21 @@ def _terms(window: int) -> list[int]:
 def _spans(pattern: str, keep: str, kind: str) -> str:
     """SQL: spans of the matches m with text s, tested value v and number i for which `keep` holds.
 
-    Positions add up the lengths between and of the matches, so they count code points.
+    Positions add up the lengths between and of the matches, so they count code
+    points: those of whole blocks of matches first, then those inside a block.
+    No array grows by one match after the other.
     """
-    p = _quoted(pattern)
+    p, length = _quoted(pattern), "m.gap + m.size"
     return f"""CASE WHEN NOT text RLIKE {p} THEN CAST(array() AS array<{SPAN}>) ELSE
-      filter(aggregate(
-        zip_with(split(text, {p}, -1), regexp_extract_all(text, {p}, 0), (gap, s) -> struct(length(gap) AS gap, s)),
-        struct(0L AS at, CAST(array() AS array<struct<start:bigint,end:bigint,s:string>>) AS found),
-        (acc, x) -> CASE WHEN x.s IS NULL THEN acc ELSE struct(
-          acc.at + x.gap + length(x.s) AS at,
-          concat(acc.found, array(struct(acc.at + x.gap AS start, acc.at + x.gap + length(x.s) AS end, x.s AS s))) AS found) END,
-        acc -> transform(acc.found, x -> {kind})), x -> {keep}) END"""
+      filter(transform(element_at(transform(
+        array(filter(zip_with(split(text, {p}, -1), regexp_extract_all(text, {p}, 0), (gap, s) -> struct(length(gap) AS gap, length(s) AS size, s)), m -> m.s IS NOT NULL)),
+        found -> element_at(transform(
+          array(transform(sequence(0, CAST((size(found) - 1) div {BLOCK} AS int)), b -> aggregate(slice(found, b * {BLOCK} + 1, {BLOCK}), 0L, (n, m) -> n + {length}))),
+          sums -> element_at(transform(
+            array(transform(sequence(0, size(sums) - 1), b -> aggregate(slice(sums, 1, b), 0L, (n, x) -> n + x))),
+            ahead -> transform(found, (m, i) -> struct(
+              ahead[CAST(i div {BLOCK} AS int)] + aggregate(slice(found, i - i % {BLOCK} + 1, i % {BLOCK}), 0L, (n, m) -> n + {length}) + m.gap AS start, m.size AS size, m.s AS s))), 1)), 1)), 1),
+        m -> element_at(transform(array(struct(m.start AS start, m.start + m.size AS end, m.s AS s)), x -> {kind}), 1)), x -> {keep}) END"""
 
 
 def _plain(number: int) -> str:

@@ -145,6 +145,17 @@ def test_secrets_match_sql(edge, nothing, tmp_path):
     assert secret_scan.scan(nothing).count() == 0
 
 
+def test_secrets_of_many_matches_match_sql(spark, tmp_path):
+    rng = random.Random(33)
+    rows = [(i, "é ".join(f"token={'x' * rng.randint(9, 14)} {'0123456789abcdef' * rng.randint(0, 2)} AKIA{'A' * rng.randint(12, 16)}" for _ in range(n))) for i, n in enumerate((1, 42, 43, 44, 127, 128, 129, 300))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    same(secret_scan.op3_secret_scan(spark, str(tmp_path)).toPandas(), duck(secret_scan.oracle(), tmp_path, "documents"))
+    long = spark.createDataFrame([(1, "token=abcdefghijklm " * 8_000)], "doc_id long, text string")
+    began = time.monotonic()
+    assert len(secret_scan.scan(long).first()["secret_spans"]) == 8_000
+    assert time.monotonic() - began < 10
+
+
 def test_redaction_keeps_columns_and_the_rest(edge):
     got = {r["doc_id"]: r["text"] for r in secret_scan.redact_secrets(None, edge, "").collect()}
     assert secret_scan.redact_secrets(None, edge, "").columns == edge.columns
