@@ -144,12 +144,12 @@ def _distinct(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[start], np.add.reduceat(n[order], start)
 
 
-def suffixes(docs: DataFrame, seed: int, packed: np.ndarray, first: np.ndarray | None = None) -> DataFrame:
-    """(h1, h2, h3, n): the suffixes of all pieces, cut after three words, counted in each task.
+def suffixes(docs: DataFrame, seed: int, packed: np.ndarray, first: np.ndarray | None = None, groups: Groups | None = None) -> DataFrame:
+    """(h1, h2, h3, n, group): the suffixes of all pieces, cut after three words, counted in each task.
 
     A word outside the map ends the suffix before it (as 0) and begins none: a
     phrase that holds it is too rare. With `first`, only suffixes of these
-    first words, cut after two.
+    first words, cut after two. `group` is the suffix's one of `groups`, else 0.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,7 +161,9 @@ def suffixes(docs: DataFrame, seed: int, packed: np.ndarray, first: np.ndarray |
                 h, (key, n) = held.named(), _distinct(np.concatenate(keys), np.concatenate(counts))
                 for at in range(0, len(key), 100_000):
                     k = key[at : at + 100_000]
-                    yield pd.DataFrame({"h1": h[k >> 42], "h2": h[k >> 21 & 0x1FFFFF], "h3": h[k & 0x1FFFFF], "n": n[at : at + 100_000]})
+                    named = h[k >> 42], h[k >> 21 & 0x1FFFFF], h[k & 0x1FFFFF]
+                    group = groups.of(*named) if groups else np.zeros(len(k), np.int64)
+                    yield pd.DataFrame({"h1": named[0], "h2": named[1], "h3": named[2], "n": n[at : at + 100_000], "group": group})
             held.clear()
             keys.clear()
             counts.clear()
@@ -186,7 +188,7 @@ def suffixes(docs: DataFrame, seed: int, packed: np.ndarray, first: np.ndarray |
                     size = 0
         yield from flushed()
 
-    return _texts(docs).mapInPandas(run, "h1 long, h2 long, h3 long, n long")
+    return _texts(docs).mapInPandas(run, "h1 long, h2 long, h3 long, n long, group long")
 
 
 # ---- groups of prefixes
@@ -292,14 +294,6 @@ def subtrees(dealt: DataFrame, groups: Groups, least: int) -> DataFrame:
     return found.groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def dealt_to_groups(found: DataFrame, groups: Groups) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(group=groups.of(*(batch[c].to_numpy() for c in ("h1", "h2", "h3"))))
-
-    return found.mapInPandas(run, "h1 long, h2 long, h3 long, n long, group long")
-
-
 def phrase_counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET, groups: int = GROUPS) -> tuple[DataFrame, DataFrame]:
     """(words, phrases): (lang, word, h, n) of all words, and (h1, h2, h3, n) of the phrases of two and three words with n >= `least`.
 
@@ -316,7 +310,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET, gro
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     packed = frequent_map(words, least)
     parts = Groups(docs, words, seed, packed, least, max(1, min(budget, total // groups)))
-    return words, settle(subtrees(dealt_to_groups(suffixes(docs, seed, packed), parts), parts, least))
+    return words, settle(subtrees(suffixes(docs, seed, packed, groups=parts), parts, least))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, top: int = TOP, budget: int = BUDGET, groups: int = GROUPS) -> DataFrame:

@@ -28,7 +28,7 @@ def documents(spark):
     rows += [(2000, 'api_key = "0123456789abcdef0123456789abcdef" for the other one and the rest of them', "en", "src1"), (2001, "12345 !!", "en", "src1"), (2002, None, None, None), (2003, "", "en", None), (2004, " \n ", "de", "src2")]
     rows += [(2005, rows[20][1], rows[20][2], "src3")] * 2 + [(None, rows[21][1] + " and more of it", "en", "src4"), (2006, (rows[22][1] + " ") * 30, rows[22][2], "src5")]
     rng.shuffle(rows)
-    return [(*r, r[1] and len(r[1]), "a", 7) for r in rows]
+    return [(*r, None if r[1] is None else len(r[1]), "a", 7) for r in rows]
 
 
 def duck(sql, rows):
