@@ -23,6 +23,8 @@ GROUPS, BUDGET = 1 << 9, 1 << 22
 MAP_BITS = 1 << 24
 #: Distinct words and suffixes that a task holds before it hands them on.
 HELD_WORDS, HELD_SUFFIXES = 150_000, 1_000_000
+#: Shares in which a language's phrases are ranked at first.
+SHARES = 128
 #: Words that a task numbers and counts together.
 STRETCH = 100_000
 
@@ -338,8 +340,11 @@ def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, to
     first, second = F.expr(score.format("n1", "n23")), F.expr(score.format("n12", "n3"))
     two_cuts = three.withColumn("first", first).withColumn("second", second).withColumn("early", F.expr("first <= second"))
     two_cuts = two_cuts.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), F.col("n").alias("a"), F.expr("IF(early, n1, n12)").alias("l"), F.expr("IF(early, n23, n3)").alias("r"), F.least("first", "second").alias("score"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = one_cut.union(two_cuts).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # A language's phrases are first ranked in SHARES, so that what one task ranks in the end has a bound.
+    order = F.desc("score"), F.desc("a"), "phrase"
+    shared = one_cut.union(two_cuts).withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    shared = shared.withColumn("place", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("place") <= top)
+    ranked = shared.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     every = words.groupBy("lang").agg(F.sum("n").alias("words")).select(F.col("lang").alias("of"), "words")
     out = ranked.join(every, F.col("lang") == F.col("of"))
     return out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("words").alias("n"), "score")
