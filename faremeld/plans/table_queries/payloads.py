@@ -136,8 +136,12 @@ def lowest_component(spark, sf_dir):
 # --- items embedded in pages ---------------------------------------------------
 
 
-def _item_pages(spark, sf_dir) -> DataFrame:
-    """A page per order: two items in script fragments cut mid-text."""
+def _item_pages(spark, sf_dir, vary: bool = False) -> DataFrame:
+    """A page per order: two items in script fragments cut mid-text.
+
+    With `vary`, of five pages one claims its two items and holds none, one
+    neither claims nor holds any, and one claims a third.
+    """
     orders = raw_table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
     first_day = F.when(F.col("o_orderkey") % 2 == 0, "第1天\n日本 東京 (橫濱) 登船\n15:00 啟航").otherwise("第一天：基隆港【郵輪20:00啟航】")
@@ -165,6 +169,14 @@ def _item_pages(spark, sf_dir) -> DataFrame:
     one = item(1, F.lit("【麗星郵輪探索星號】鹿兒島、那霸6天-週日出發"), price, F.array(day.cast("string"), F.date_add(day, 9).cast("string"), F.lit("soon")))
     two = item(2, F.lit("【公主遊輪】鑽石公主號～日本探險家之旅 11天"), F.lit(0).cast("decimal(18,2)"), F.array(F.date_add(day, 4).cast("string")))
     text = F.concat(F.lit('{"x":1,"item":'), one, F.lit('},{"item":'), two, F.lit('},{"total":2,"currentPage":1,"limit":20}]'))
+    if vary:
+        kind = F.col("o_orderkey") % 5
+        text = (
+            F.when(kind == 1, '[{"x":1},{"total":2,"currentPage":1,"limit":20}]')
+            .when(kind == 2, '[{"x":1}]')
+            .when(kind == 3, F.replace(text, F.lit('"total":2,'), F.lit('"total":3,')))
+            .otherwise(text)
+        )
     # A JSON string literal of any text: the value of a one-element array.
     cut = F.floor(F.length(text) / 2).cast("int")
 
@@ -247,20 +259,27 @@ def embedded_cheapest(spark, sf_dir):
     return rows.select("ship_name", _day(), F.col("nights").cast("bigint").alias("nights"), "depart_port", _text("price"), item_id.alias("id"))
 
 
-@query("page_meta", "SELECT o_orderkey AS page_no, 2 AS claimed, 2 AS parsed, 'ok' AS verdict FROM orders")
+@query(
+    "page_meta",
+    """
+SELECT o_orderkey AS page_no, CASE o_orderkey % 5 WHEN 2 THEN 0 WHEN 3 THEN 3 ELSE 2 END AS claimed, CASE WHEN o_orderkey % 5 IN (1, 2) THEN 0 ELSE 2 END AS parsed,
+       CASE o_orderkey % 5 WHEN 1 THEN 'unreadable' WHEN 2 THEN 'empty' ELSE 'ok' END AS verdict FROM orders""",
+)
 def page_meta(spark, sf_dir):
     """Claimed result counts of the item pages against the items read."""
-    rows = embedded_items.page_health(_item_pages(spark, sf_dir))
+    rows = embedded_items.page_health(_item_pages(spark, sf_dir, vary=True))
     return rows.select("page_no", F.col("claimed").cast("bigint").alias("claimed"), "parsed", "verdict")
 
 
 # --- event streams ---------------------------------------------------------------
 
 
-def _stream_lines(spark, sf_dir) -> DataFrame:
+def _stream_lines(spark, sf_dir, vary: bool = False) -> DataFrame:
     """A stream per order: two main groups, two departures each, then the end.
 
-    Every fifth stream breaks off before its last step.
+    Every fifth stream breaks off before its last step. With `vary`, of seven
+    streams one has an empty first step, one a first step without a code, and
+    one none.
     """
     orders = raw_table(spark, sf_dir, "orders")
     day = F.date_format("o_orderdate", "yyyy/MM/dd")
@@ -301,10 +320,15 @@ def _stream_lines(spark, sf_dir) -> DataFrame:
         return F.concat(F.lit(f'data: {{"step":"{step}","data":'), F.to_json(data), F.lit("}"))
 
     end = F.when(F.col("o_orderkey") % 5 == 0, ": keep-alive").otherwise('data: {"step":"step3","data":{"totalGroups":3}}')
+    first = event("step1", mains)
+    if vary:
+        kind = F.col("o_orderkey") % 7
+        empty, nameless = 'data: {"step":"step1","data":[]}', 'data: {"step":"step1","data":[{"groupName":"x"}]}'
+        first = F.when(kind == 0, empty).when(kind == 1, nameless).when(kind == 2, ": keep-alive").otherwise(first)
     lines = F.array(
         F.lit(": keep-alive"),
         F.lit('data: {"step":"step2","data":[]}'),
-        event("step1", mains),
+        first,
         F.lit("data: {broken"),
         event("step2", details),
         end,
@@ -343,11 +367,11 @@ def stream_rows(spark, sf_dir):
 @query(
     "stream_verdicts",
     """
-SELECT o_orderkey AS stream_id, o_orderkey % 5 <> 0 AS has_end, true AS has_start,
-       CASE WHEN o_orderkey % 5 = 0 THEN 'incomplete' ELSE 'ok' END AS verdict FROM orders""",
+SELECT o_orderkey AS stream_id, o_orderkey % 5 <> 0 AS has_end, o_orderkey % 7 > 2 AS has_start,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'incomplete' WHEN o_orderkey % 7 < 3 THEN 'no_start' ELSE 'ok' END AS verdict FROM orders""",
 )
 def stream_verdicts(spark, sf_dir):
-    return event_stream.verdicts(event_stream.read_events(_stream_lines(spark, sf_dir)))
+    return event_stream.verdicts(event_stream.read_events(_stream_lines(spark, sf_dir, vary=True)))
 
 
 @query(
