@@ -18,7 +18,7 @@ from faremeld.functions.names import (
     with_match_key,
     with_ship_and_line,
 )
-from faremeld.functions.text import clean_text
+from faremeld.functions.text import clean_text, let
 from faremeld.operators.dedupe import keep_cheapest
 from faremeld.operators.quality import stream_health
 from faremeld.schemas import as_quotes
@@ -42,7 +42,8 @@ def event_rows(lines: DataFrame) -> DataFrame:
     # Read as the only element of an array: text behind the object then makes
     # the whole line unreadable instead of being overlooked.
     events = F.from_json(F.concat(F.lit("["), "_payload", F.lit("]")), "array<struct<step:string,data:string>>")
-    return payloads.select("stream_id", "line_no", "scraped_at", F.inline(F.when(F.size(events) == 1, events))).where("step <> ''")
+    only = let(events, lambda found: F.when(F.size(found) == 1, found))
+    return payloads.select("stream_id", "line_no", "scraped_at", F.inline(only)).where("step <> ''")
 
 
 def read_events(lines: DataFrame) -> DataFrame:
