@@ -109,28 +109,23 @@ def with_ship_and_line(df: DataFrame, title: str) -> DataFrame:
     """Add ship_name, ship_name_raw and cruise_line read from a product title."""
     staged = df.withColumn("_title", clean_text(F.col(title)))
     title_c = F.col("_title")
-    staged = staged.withColumns(
-        {
-            "_inner": extract(title_c, fv.TITLE_BRACKET, 1),
-            "_outer": F.regexp_replace(extract(title_c, fv.TITLE_BRACKET, 2), fv.NAME_TAIL, ""),
-            "_whole": F.regexp_replace(title_c, fv.NAME_TAIL, ""),
-        }
-    )
-    staged = staged.withColumns(
-        {
-            "_inner": F.when(F.col("_inner").rlike(fv.LINE_ONLY), "").otherwise(
-                without_line_names(F.col("_inner"))
-            ),
-            "_outer": without_line_names(F.col("_outer")),
-            "_whole": without_line_names(F.col("_whole")),
-        }
+    outer = F.regexp_replace(extract(title_c, fv.TITLE_BRACKET, 2), fv.NAME_TAIL, "")
+    whole = F.regexp_replace(title_c, fv.NAME_TAIL, "")
+
+    def unless_empty(text: Column) -> Column:
+        return let(text, lambda t: F.when(t != "", t))
+
+    # The next one is looked at only where the one before says nothing.
+    raw = F.coalesce(
+        let(extract(title_c, fv.TITLE_BRACKET, 1), lambda t: F.when(~t.rlike(fv.LINE_ONLY), unless_empty(without_line_names(t)))),
+        unless_empty(without_line_names(outer)),
+        without_line_names(whole),
     )
-    raw = F.coalesce(F.nullif(F.col("_inner"), F.lit("")), F.nullif(F.col("_outer"), F.lit("")), F.col("_whole"))
     staged = staged.withColumn("ship_name_raw", raw)
     ship = F.coalesce(longest_alias(title_c, fv.SHIP_ALIASES), canonical_ship(F.col("ship_name_raw")))
     line = F.coalesce(longest_alias(title_c, fv.LINE_ALIASES), F.lit(""))
     return staged.withColumns({"ship_name": ship, "cruise_line": line}).drop(
-        "_title", "_inner", "_outer", "_whole"
+        "_title"
     )
 
 

@@ -11,7 +11,8 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from faremeld.functions.money import plain_number
-from faremeld.plans.table_queries.feeds import raw_table, table
+from faremeld.functions.text import computed
+from faremeld.plans.table_queries.feeds import raw_table, spread, table
 from faremeld.plans.table_queries.registry import query
 from faremeld.sources import embedded_items, event_stream, itinerary_api, published, result_table, sailing_cards
 
@@ -142,7 +143,8 @@ def _item_pages(spark, sf_dir, vary: bool = False) -> DataFrame:
     With `vary`, of five pages one claims its two items and holds none, one
     neither claims nor holds any, and one claims a third.
     """
-    orders = raw_table(spark, sf_dir, "orders")
+    columns = "o_orderkey o_custkey o_totalprice o_orderdate o_orderpriority".split()
+    orders = spread(raw_table(spark, sf_dir, "orders").select(*columns))
     day = F.to_date("o_orderdate")
     first_day = F.when(F.col("o_orderkey") % 2 == 0, "第1天\n日本 東京 (橫濱) 登船\n15:00 啟航").otherwise("第一天：基隆港【郵輪20:00啟航】")
 
@@ -177,11 +179,14 @@ def _item_pages(spark, sf_dir, vary: bool = False) -> DataFrame:
             .when(kind == 3, F.replace(text, F.lit('"total":2,'), F.lit('"total":3,')))
             .otherwise(text)
         )
-    # A JSON string literal of any text: the value of a one-element array.
+    orders = computed(orders, {"_text": text})
+    text = F.col("_text")
     cut = F.floor(F.length(text) / 2).cast("int")
+    # A JSON string literal of any text: the value of a one-element array.
+    halves = F.substring(text, F.lit(1), cut), F.substring(text, cut + 1, F.length(text))
+    orders = computed(orders, {f"_array_{i}": F.to_json(F.array(half)) for i, half in enumerate(halves)})
 
-    def literal(part):
-        array = F.to_json(F.array(part))
+    def literal(array):
         return F.substring(array, F.lit(2), F.length(array) - 2)
 
     def push(part):
@@ -191,9 +196,9 @@ def _item_pages(spark, sf_dir, vary: bool = False) -> DataFrame:
         F.lit("<html><body><p>"),
         "o_orderpriority",
         F.lit("</p>"),
-        push(literal(F.substring(text, F.lit(1), cut))),
+        push(literal("_array_0")),
         push(F.lit("null")),
-        push(literal(F.substring(text, cut + 1, F.length(text)))),
+        push(literal("_array_1")),
         F.lit("</body></html>"),
     )
     return orders.select(

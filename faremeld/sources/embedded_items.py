@@ -18,7 +18,7 @@ from faremeld.functions.names import (
     with_match_key,
     with_ship_and_line,
 )
-from faremeld.functions.text import clean_text, let
+from faremeld.functions.text import clean_text, computed, let
 from faremeld.operators.dedupe import keep_cheapest
 from faremeld.operators.quality import parse_health
 from faremeld.schemas import as_quotes
@@ -61,7 +61,7 @@ def with_items(pages: DataFrame, flight: str, out: str = "item") -> DataFrame:
     Items are read while they are exploded, so that filters above do not
     repeat the JSON work.
     """
-    cut = pages.withColumn("_parts", F.split(F.col(flight), fv.ITEM_START))
+    cut = computed(pages, {"_parts": F.split(F.col(flight), fv.ITEM_START)})
 
     def read(part: Column, i: Column) -> Column:
         rest = F.array_join(F.slice("_parts", i + 2, F.size("_parts")), '"item":')
@@ -91,13 +91,12 @@ def to_rows(items: DataFrame) -> DataFrame:
     )
     # The port field may name two ports; the first day tells which one it is.
     first_day = F.get("_daily", F.lit(0))["description"]
-    daily = daily.withColumn(
-        "depart_port", F.coalesce(match_port(first_day), match_port(F.col("_port")))
+    daily = computed(
+        daily, {"depart_port": F.coalesce(match_port(first_day), match_port(F.col("_port")))}
     ).where("depart_port IS NOT NULL")
     named = with_journey_ports(with_ship_and_line(daily, "_name"), "_daily", "ports_of_call")
-    dated = named.select(
-        "*", F.posexplode("item.availableDates").alias("date_no", "_date")
-    ).withColumn("sail_date", parse_date(F.col("_date")))
+    days = F.transform("item.availableDates", lambda d: parse_date(d))
+    dated = named.select("*", F.posexplode(days).alias("date_no", "sail_date"))
     dated = dated.where(in_window(F.col("sail_date"), F.col("chunk_start"), F.col("chunk_end")))
     number = F.col("item.price").try_cast("decimal(38,4)")
     price = F.when(number.isNotNull(), positive(number)).otherwise(parse_price(F.col("item.price")))
