@@ -41,9 +41,9 @@ def _read(page):
     if table is None:
         return
     for row in table.find_all("tr"):
-        record = {name: text_at(row, path) for name, path in CELLS.items()}
-        if not (record["date_text"] or "").strip():
+        if not (text_at(row, CELLS["date_text"]) or "").strip():
             continue  # header or advertisement
+        record = {name: text_at(row, path) for name, path in CELLS.items()}
         record["href"] = attr_at(row, LINK, "href")
         yield record
 
