@@ -485,7 +485,8 @@ def result_last_wins(spark, sf_dir):
 
 def _card_pages(spark, sf_dir) -> DataFrame:
     """A page per order with one card of three price tables, one undated."""
-    orders = raw_table(spark, sf_dir, "orders")
+    columns = "o_orderkey o_custkey o_totalprice o_orderdate o_orderpriority".split()
+    orders = spread(raw_table(spark, sf_dir, "orders").select(*columns))
     price = F.floor("o_totalprice").cast("decimal(18,0)")
     city = F.when(F.col("o_orderkey") % 3 == 0, "").when(F.col("o_orderkey") % 3 == 1, "Departing From Yokohama, Japan").otherwise("Singapore")
     stop = F.when(F.col("o_orderkey") % 3 == 2, "Singapore").otherwise("Keelung (taipei)")
@@ -514,9 +515,8 @@ def _card_pages(spark, sf_dir) -> DataFrame:
         F.lit("</article></body></html>"),
     )
     title = F.when(F.col("o_orderkey") % 10 == 9, "Just a moment...").otherwise("Cruise Search Results")
-    return orders.select(
-        F.col("o_orderkey").alias("page_no"), title.alias("title"), html.alias("html"), F.to_timestamp("o_orderdate").alias("scraped_at")
-    )
+    pages = computed(orders, {"title": title, "html": html})
+    return pages.select(F.col("o_orderkey").alias("page_no"), "title", "html", F.to_timestamp("o_orderdate").alias("scraped_at"))
 
 
 _CARD_SQL = """

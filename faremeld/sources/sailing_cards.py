@@ -11,7 +11,7 @@ from faremeld import fixed_values as fv
 from faremeld.functions.dates import first_date_in_range_cell, in_window
 from faremeld.functions.money import lowest_positive, parse_nights, parse_price
 from faremeld.functions.names import MATCH_KEY, line_from_slug, match_port, with_match_key
-from faremeld.functions.text import clean_text, split_ports, strip_prefix_label
+from faremeld.functions.text import clean_text, computed, split_ports, strip_prefix_label
 from faremeld.operators.dedupe import keep_last
 from faremeld.operators.quality import is_blocked, page_state, source_outcome
 from faremeld.schemas import as_quotes
@@ -52,26 +52,31 @@ def read_cells(pages: DataFrame) -> DataFrame:
     return explode_pages(pages, "html", ["page_no", "scraped_at"], fields, _read)
 
 
-def to_rows(cells: DataFrame) -> DataFrame:
-    """Quotes of every readable price table from a target port."""
+_IS_QUOTE = "cells IS NOT NULL AND depart_port IS NOT NULL AND sail_date IS NOT NULL"
+
+
+def _placed(cells: DataFrame) -> DataFrame:
+    """Cells with their port and date; those that meet `_IS_QUOTE` are quotes."""
     itinerary = F.regexp_replace(clean_text(F.col("itinerary_text")), fv.ITINERARY_SUFFIX, "")
-    staged = cells.where("cells IS NOT NULL").withColumns(
+    staged = computed(
+        cells,
         {
             "ports_of_call": split_ports(itinerary, " - "),
             "_city": strip_prefix_label(F.col("city_text")),
-        }
+            "sail_date": first_date_in_range_cell(clean_text(F.get("cells", F.lit(0)))),
+        },
     )
     first_stop = F.get("ports_of_call", F.lit(0))
-    by_city = match_port(F.col("_city"))
+    staged = computed(staged, {"_by_city": match_port(F.col("_city"))})
     # Some pages leave the city empty; the first stop then tells.
-    use_stop = by_city.isNull() & first_stop.isNotNull()
-    staged = staged.withColumns(
-        {
-            "depart_port": F.coalesce(by_city, match_port(first_stop)),
-            "depart_port_raw": F.when(use_stop, first_stop).otherwise(F.col("_city")),
-            "sail_date": first_date_in_range_cell(clean_text(F.get("cells", F.lit(0)))),
-        }
-    ).where("depart_port IS NOT NULL AND sail_date IS NOT NULL")
+    use_stop = F.col("_by_city").isNull() & first_stop.isNotNull()
+    staged = computed(staged, {"depart_port": F.coalesce("_by_city", match_port(first_stop))})
+    return staged.withColumn("depart_port_raw", F.when(use_stop, first_stop).otherwise(F.col("_city")))
+
+
+def to_rows(cells: DataFrame) -> DataFrame:
+    """Quotes of every readable price table from a target port."""
+    staged = _placed(cells.where("cells IS NOT NULL")).where(_IS_QUOTE)
     cabins = F.slice("cells", F.lit(2), F.size("cells"))
     return staged.select(
         "page_no",
@@ -110,14 +115,21 @@ def parse(pages: DataFrame, start, end) -> DataFrame:
 
 def _states(pages: DataFrame, start, end) -> DataFrame:
     """The page states with `collected`: rows inside the window."""
-    cells = read_cells(readable_pages(pages))
-    cards = cells.groupBy("page_no").agg(F.count_if(F.col("cells").isNull()).alias("cards"))
     inside = F.lit(True) if start is None else in_window(F.col("sail_date"), F.lit(start), F.lit(end))
-    parsed = to_rows(cells).groupBy("page_no").agg(F.count("*").alias("parsed"), F.count_if(inside).alias("collected"))
+    quote = F.expr(_IS_QUOTE)
+    # Pages are read once: one row per card and one per table, counted together.
+    counts = (
+        _placed(read_cells(readable_pages(pages)))
+        .groupBy("page_no")
+        .agg(
+            F.count_if(F.col("cells").isNull()).alias("cards"),
+            F.count_if(quote).alias("parsed"),
+            F.count_if(quote & inside).alias("collected"),
+        )
+    )
     return (
         pages.select("page_no", is_blocked(F.col("html"), F.col("title")).alias("blocked"))
-        .join(cards, "page_no", "left")
-        .join(parsed, "page_no", "left")
+        .join(counts, "page_no", "left")
         .na.fill(0, ["cards", "parsed", "collected"])
         .withColumn("state", page_state(F.col("blocked"), F.col("cards"), F.col("parsed")))
     )
