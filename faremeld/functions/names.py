@@ -139,15 +139,17 @@ def itinerary_ports(title: Column) -> Column:
 
 
 def day_place(description: Column) -> Column:
-    """Place named by one day of an itinerary; '' for a sea day or none."""
-    lines = F.transform(F.split(F.coalesce(description, F.lit("")), "\n"), clean_text)
-    usable = F.filter(lines, lambda t: (t != "") & ~t.rlike(fv.DAY_ONLY))
+    """Place named by one day of an itinerary; '' for a sea day or none.
+
+    A line that is empty or only counts the day has nothing left between its ends.
+    """
+    lines = F.split(F.coalesce(description, F.lit("")), "\n")
 
     def place(line: Column) -> Column:
-        bare = F.regexp_replace(F.regexp_replace(line, fv.DAY_PREFIX, ""), fv.DAY_TRAILER, "")
-        return F.btrim(clean_text(bare), F.lit(fv.DAY_EDGE_CHARS))
+        # A cleaned line has single spaces, and the edge characters hold the space.
+        return F.btrim(F.regexp_replace(clean_text(line), fv.DAY_ENDS, ""), F.lit(fv.DAY_EDGE_CHARS))
 
-    found = F.get(F.filter(F.transform(usable, place), lambda p: p != ""), F.lit(0))
+    found = F.get(F.filter(F.transform(lines, place), lambda p: p != ""), F.lit(0))
     return let(found, lambda f: F.when(f.isNull() | f.rlike(fv.SEA_DAY), "").otherwise(f))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from faremeld.functions import names
 from faremeld.operators.quality import merge_unmapped, unmapped_names, unmapped_rows, unmapped_warning
-from faremeld.plans.table_queries.feeds import raw_table, table
+from faremeld.plans.table_queries.feeds import raw_table, spread, table
 from faremeld.plans.table_queries.registry import query
 from faremeld.sources.itinerary_api import look_up
 from faremeld.sources.result_table import in_target_ports
@@ -196,7 +196,8 @@ def journey_ports(spark, sf_dir):
         F.lit("第六天：基隆港"),
     )
     daily = F.transform(days, lambda d: F.struct(d.alias("description")))
-    rows = raw_table(spark, sf_dir, "lineitem").withColumn("daily", daily)
+    columns = "l_orderkey l_linenumber l_partkey l_suppkey l_returnflag l_linestatus".split()
+    rows = spread(raw_table(spark, sf_dir, "lineitem").select(*columns)).withColumn("daily", daily)
     return names.with_journey_ports(rows, "daily", "ports").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.array_join("ports", "|").alias("ports")
     )
