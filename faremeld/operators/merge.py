@@ -30,15 +30,18 @@ def rows_after_run(current: DataFrame, previous: DataFrame, status: DataFrame) -
     `status` has one row per attempted source (src_ord, source, ok). Sources
     not run come last, in order of first appearance. Both inputs carry
     `row_ord`, an array of positions.
+
+    What is joined has one row per source and goes to every task: dealt by
+    source, the quotes would meet in as many tasks as there are sources.
     """
     status = status.select("source", "ok", F.col("src_ord").cast("bigint").alias("src_ord"))
     first_rows = previous.groupBy("source").agg(F.min("row_ord").alias("first_row"))
 
-    fresh = mark_fresh(current.join(status.where("ok"), "source"))
+    fresh = mark_fresh(current.join(F.broadcast(status.where("ok")), "source"))
     fresh = fresh.withColumn("ord", F.concat(F.array("src_ord"), "row_ord"))
 
     # One pass over the old rows: of failed sources, and of sources not run.
-    kept = previous.join(status, "source", "left").where("NOT coalesce(ok, false)").join(first_rows, "source")
+    kept = previous.join(F.broadcast(status), "source", "left").where("NOT coalesce(ok, false)").join(F.broadcast(first_rows), "source")
     after_all = F.concat(F.array(F.lit(2**31).cast("bigint")), "first_row", "row_ord")
     in_turn = F.concat(F.array("src_ord"), "row_ord")
     kept = mark_stale(kept).withColumn("ord", F.when(F.col("ok").isNull(), after_all).otherwise(in_turn))
