@@ -25,7 +25,7 @@ from faremeld.sources.registry import select_sources
 
 def merged_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed merged as one successful run."""
-    quotes = apply_rate(with_match_key(quote_feed(spark, sf_dir)), F.lit(RATE))
+    quotes = apply_rate(with_match_key(quote_feed(spark, sf_dir, dealt=True)), F.lit(RATE))
     quotes = quotes.withColumn("ord", F.concat(F.array("src_ord"), "row_ord")).drop("src_ord", "row_ord", "line_status")
     return best_quotes(quotes)
 
@@ -202,8 +202,8 @@ OUTCOMES = [
 ]
 
 
-def _run_inputs(spark, sf_dir):
-    feed = quote_feed(spark, sf_dir).drop("src_ord")
+def _run_inputs(spark, sf_dir, dealt=False):
+    feed = quote_feed(spark, sf_dir, dealt).drop("src_ord")
     current = feed.where("line_status = 'O'").drop("line_status")
     previous = feed.where("line_status = 'F'").drop("line_status")
     return current, previous, spark.createDataFrame(OUTCOMES, RUN_STATUS)
@@ -234,7 +234,7 @@ SELECT k_ship, CAST(sail_date AS VARCHAR) AS sail_date, CAST(nights AS BIGINT) A
        CAST(price_twd AS VARCHAR) AS price_twd, others FROM best""",
 )
 def incremental_merge(spark, sf_dir):
-    current, previous, status = _run_inputs(spark, sf_dir)
+    current, previous, status = _run_inputs(spark, sf_dir, dealt=True)
     return _merged(merge_run(current, previous, status, F.lit(RATE)))
 
 
@@ -265,7 +265,7 @@ _CARRIED_SQL = """CASE WHEN others = '' AND stale_since IS NOT NULL THEN
 @query("merge_carried_maps", f"WITH {FEED_SQL}, {_RUN_SQL}, {merged_sql('after_run')}" + _MERGED_SQL.format(others=_CARRIED_SQL))
 def merge_carried_maps(spark, sf_dir):
     """Old rows carry a rival each: kept at today's rate without a loser, replaced with one."""
-    current, previous, status = _run_inputs(spark, sf_dir)
+    current, previous, status = _run_inputs(spark, sf_dir, dealt=True)
     entry = F.struct(F.col("row_ord")[0].cast("string").alias("price"), "currency", F.lit("1").alias("price_twd"))
     previous = previous.withColumn("other_sources", F.create_map(F.lit("old"), entry))
     return _merged(merge_run(current, previous, status, F.lit(RATE)))
@@ -277,7 +277,7 @@ def merge_carried_maps(spark, sf_dir):
 )
 def merge_without_rate(spark, sf_dir):
     """No rate at all: raw numbers are compared, and USD quotes have no TWD value."""
-    return _merged(merge_run(*_run_inputs(spark, sf_dir), F.lit(None).cast("string")))
+    return _merged(merge_run(*_run_inputs(spark, sf_dir, dealt=True), F.lit(None).cast("string")))
 
 
 @query(
@@ -287,7 +287,7 @@ def merge_without_rate(spark, sf_dir):
 )
 def merge_already_stale(spark, sf_dir):
     """Half of the old rows were stale before, and keep their date."""
-    current, previous, status = _run_inputs(spark, sf_dir)
+    current, previous, status = _run_inputs(spark, sf_dir, dealt=True)
     before = F.when(F.col("row_ord")[0] % 2 == 1, F.lit("1990-02-03").cast("date"))
     return _merged(merge_run(current, previous.withColumn("stale_since", before), status, F.lit(RATE)))
 
